@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, language_id, url_filter
 from .common import table
 
 
@@ -14,14 +14,44 @@ def op7_grace_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_nearest_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+def op9_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_grace_exact_dedup": op7_grace_exact_dedup,
+    "op8_nearest_centroid_language": op8_nearest_centroid_language,
+    "op9_bloom_cascade_urls": op9_bloom_cascade_urls,
 }
 
+_BLOCKED = " OR ".join(f"host = '{h}' OR host LIKE '%.{h}'" for h in url_filter.BLOCKED_HOSTS)
+_FITS = ", ".join(
+    f"CASE WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '{p}') THEN '{h}{p}' END"
+    for h, p, _ in sorted(url_filter.RULES, key=lambda r: -len(r[0] + r[1]))
+)
+_VERDICTS = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in url_filter.RULES)
+
 ORACLE_SQL: dict[str, str] = {
     "op7_grace_exact_dedup": """
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = min(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM n WINDOW w AS (PARTITION BY t)""",
+    "op9_bloom_cascade_urls": f"""
+        WITH u AS (
+            SELECT page_id, strpos(coalesce(url, ''), '://') AS colon, coalesce(url, '') AS url FROM pages),
+        p AS (
+            SELECT page_id,
+                   CASE WHEN colon > 0 THEN translate(regexp_extract(substr(url, colon + 3), '^[^/?#]*'),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+                   CASE WHEN colon > 0 THEN regexp_extract(substr(url, colon + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+            FROM u),
+        r AS (SELECT *, coalesce({_FITS}) AS rule FROM p)
+        SELECT page_id, host, path, rule,
+               CASE rule {_VERDICTS} ELSE CASE WHEN {_BLOCKED} THEN 'block' ELSE 'allow' END END AS verdict
+        FROM r""",
 }
