@@ -5,11 +5,23 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, url_filter
+from . import bpe, exact_dedup, language_id, url_filter
 from .common import table
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = bpe.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), decoded=True)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op7_grace_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -23,6 +35,7 @@ def op9_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_backtracking_bpe": op6_backtracking_bpe,
     "op7_grace_exact_dedup": op7_grace_exact_dedup,
     "op8_nearest_centroid_language": op8_nearest_centroid_language,
     "op9_bloom_cascade_urls": op9_bloom_cascade_urls,
