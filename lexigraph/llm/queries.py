@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, url_filter
+from . import bpe, exact_dedup, language_id, pii, url_filter
 from .common import table
 
 
@@ -17,6 +17,11 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op2_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.found(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
 def op6_backtracking_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = bpe.encoded(table(spark, sf_dir, "documents"), tokenizer_path(), decoded=True)
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
@@ -35,6 +40,7 @@ def op9_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_crf_pii": op2_crf_pii,
     "op6_backtracking_bpe": op6_backtracking_bpe,
     "op7_grace_exact_dedup": op7_grace_exact_dedup,
     "op8_nearest_centroid_language": op8_nearest_centroid_language,
