@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, pii, url_filter
+from . import bpe, exact_dedup, language_id, pii, quality, url_filter
 from .common import table
 
 
+def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
@@ -41,6 +45,7 @@ def op9_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_crf_pii": op2_crf_pii,
+    "op5_line_frequency_quality": op5_line_frequency_quality,
     "op6_backtracking_bpe": op6_backtracking_bpe,
     "op7_grace_exact_dedup": op7_grace_exact_dedup,
     "op8_nearest_centroid_language": op8_nearest_centroid_language,
