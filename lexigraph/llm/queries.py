@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, pii, quality, url_filter
+from . import bpe, exact_dedup, language_id, mixing, pii, quality, sharding, url_filter
 from .common import table
 
 
@@ -21,6 +21,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op2_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = pii.found(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
@@ -43,13 +47,19 @@ def op9_bloom_cascade_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
 
+def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_rows(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_histogram_sort_shards": op1_histogram_sort_shards,
     "op2_crf_pii": op2_crf_pii,
     "op5_line_frequency_quality": op5_line_frequency_quality,
     "op6_backtracking_bpe": op6_backtracking_bpe,
     "op7_grace_exact_dedup": op7_grace_exact_dedup,
     "op8_nearest_centroid_language": op8_nearest_centroid_language,
     "op9_bloom_cascade_urls": op9_bloom_cascade_urls,
+    "op10_temperature_mixing": op10_temperature_mixing,
 }
 
 _BLOCKED = " OR ".join(f"host = '{h}' OR host LIKE '%.{h}'" for h in url_filter.BLOCKED_HOSTS)
