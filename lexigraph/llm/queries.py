@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, mixing, pii, quality, sharding, url_filter
+from . import bpe, exact_dedup, language_id, mixing, near_dedup, pii, quality, sharding, url_filter
 from .common import table
 
 
+def op3_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort_shards": op1_histogram_sort_shards,
     "op2_crf_pii": op2_crf_pii,
+    "op3_bbit_minhash": op3_bbit_minhash,
     "op5_line_frequency_quality": op5_line_frequency_quality,
     "op6_backtracking_bpe": op6_backtracking_bpe,
     "op7_grace_exact_dedup": op7_grace_exact_dedup,
