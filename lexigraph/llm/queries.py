@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, language_id, mixing, near_dedup, pii, quality, sharding, url_filter
+from . import bpe, exact_dedup, language_id, mixing, near_dedup, pii, quality, repeats, sharding, url_filter
 from .common import table
 
 
@@ -15,6 +15,11 @@ def op3_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.groups(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_index_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents"), texts=False)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
 def op5_line_frequency_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_histogram_sort_shards": op1_histogram_sort_shards,
     "op2_crf_pii": op2_crf_pii,
     "op3_bbit_minhash": op3_bbit_minhash,
+    "op4_suffix_index_repeats": op4_suffix_index_repeats,
     "op5_line_frequency_quality": op5_line_frequency_quality,
     "op6_backtracking_bpe": op6_backtracking_bpe,
     "op7_grace_exact_dedup": op7_grace_exact_dedup,
