@@ -4,13 +4,20 @@ Each document's distinct 5-word shingles are hashed, and PERMUTATIONS minima are
 documents at a time. Bands of ROWS full minima give candidate buckets; then only the low BITS of each
 minimum are kept, packed into a few longs. Documents with equal sets are one node from then on.
 
-In a bucket, members are ranked by id, and low ranks serve as hubs: rank 0 first, then twice as many ranks
-in each round. A round pairs hubs with the members that are not in their component yet, estimates each
-pair's similarity from the packed bits (bit counts of the XOR, corrected for chance collisions), and
-confirms what reaches the estimate on the full shingle sets, for each member its best pair first.
-A bucket leaves when its members are one component or all its ranks have been hubs, so each pair of a bucket
-is either confirmed, refused or within one component already: nothing is capped, and a group of n near
-copies costs about n confirmations rather than n * n.
+In a bucket, members are ranked by id, and low ranks serve as hubs: the first member, then the next three, and
+four times as many in each round. A round pairs hubs with the members that are outside the bucket's largest
+component and not in the hub's, estimates each pair's similarity from the packed bits (bit counts of the
+XOR, corrected for chance collisions), and confirms what reaches the estimate on the full shingle sets; in
+the first round, each member's best pair comes first. Of two members in different components at least one is
+outside the largest, so when all ranks have been hubs every pair of the bucket has been confirmed, refused,
+or was within one component already.
+
+Buckets of HUBS members or more that still hold several components after their first ranks (clouds of
+variants, of which some are similar to many and near enough to none) are settled in blocks: open buckets
+that share members form clusters; the members outside a cluster's largest component are its queries; blocks
+of queries meet blocks of members on full sets inside one task each, and only links that join components
+leave it. So nothing is capped, a group of n near copies costs about n confirmations, and pairs that come to
+nothing never become rows.
 
 Components come from contraction: each node hooks to its least neighbour, paths are halved, and the edges
 between roots are the next round's graph. Links, labels and sets stay in distributed tables throughout.
@@ -29,9 +36,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from .common import LOWER, cut, identified, in_blocks, mixed, signed, small_batches, text_bytes, word_hashes, words, written
 
@@ -39,6 +45,10 @@ WIDTH = 5
 PERCENT = 75
 BANDS, ROWS, BITS = 32, 4, 4
 PERMUTATIONS = BANDS * ROWS
+#: Ranks of a bucket that serve as hubs before what is left of it is settled in blocks.
+HUBS = 16
+#: Bytes of text of a block's queries, and of its members.
+QUERY_BYTES, MEMBER_BYTES = 1 << 20, 4 << 20
 #: Estimated similarity from which a candidate pair is confirmed on full sets.
 ESTIMATE = 0.55
 
@@ -154,6 +164,51 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0).filter(good), part.column(1).filter(good)], names=["a", "b"])
 
 
+def _links_of_block(block: pa.Table) -> pa.Table:
+    """node, label, query, text -> pairs a, b that join the labels of similar queries and members."""
+    nodes, labels = block.column("node").to_pylist(), block.column("label").to_pylist()
+    is_query = np.array(block.column("query").to_pylist(), bool)
+    gram, of = shingles(*text_bytes(block.column("text")))
+    size = np.bincount(of, minlength=len(nodes))
+    mine = is_query[of]
+    order = np.argsort(gram[mine], kind="stable")
+    query_gram, query_of = gram[mine][order], of[mine][order]
+    number = np.cumsum(is_query) - 1
+    members = np.flatnonzero(~is_query)
+    gram, of = gram[~mine], of[~mine]
+    low, high = np.searchsorted(query_gram, gram, "left"), np.searchsorted(query_gram, gram, "right")
+    work = np.concatenate([[0], np.cumsum(high - low)])
+    starts = np.searchsorted(of, members)
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    out: list[tuple[int, int]] = []
+    at, queries = 0, np.flatnonzero(is_query)
+    edges = np.concatenate([starts, [len(of)]])
+    while at < len(members):  # as many members at a time as shared shingles allow
+        to = at + 1
+        while to < len(members) and work[edges[to + 1]] - work[edges[at]] <= 1 << 21 and (to - at) * len(queries) <= 1 << 21:
+            to += 1
+        a, b = edges[at], edges[to]
+        n = (high - low)[a:b]
+        place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[a:b], n)
+        row = np.repeat(np.searchsorted(members[at:to], of[a:b]), n)
+        both = np.bincount(row * len(queries) + number[query_of[place]], minlength=(to - at) * len(queries)).reshape(to - at, -1)
+        union = size[members[at:to]][:, None] + size[queries][None] - both
+        for m, q in zip(*np.nonzero((100 * both >= PERCENT * union) & (both > 0)), strict=True):
+            x, y = int(members[at + m]), int(queries[q])
+            rx, ry = root(labels[x]), root(labels[y])
+            if rx != ry:
+                parent[max(rx, ry)] = min(rx, ry)
+                out.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
+        at = to
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+
 def estimate(x: Column, y: Column) -> Column:
     """Similarity from two packed sketches: the share of agreeing lanes, corrected for chance agreement."""
     lanes = 64 // BITS
@@ -169,23 +224,32 @@ def estimate(x: Column, y: Column) -> Column:
     return ((1 - differing / float(PERMUTATIONS)) - chance) / (1 - chance)
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) of the nodes of edges (a, b); root is the least node of the component."""
-    edges = cut(edges.where("a <> b").distinct())
-    roots = None
-    while not edges.isEmpty():
-        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """df cut off from its lineage, and its number of rows, in one job."""
+    seen = Observation()
+    out = cut(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return out, seen.get["n"]
+
+
+def mapped(df: DataFrame, column: str, hook: DataFrame, keep: bool) -> DataFrame:
+    """df with `column` replaced by its root in hook; nodes without one stay or their rows go. The join is
+    by merging, so that many small steps leave no broadcast tables on the driver."""
+    to = hook.select(F.col("node").alias(column), F.col("root").alias("_root")).hint("merge")
+    rest = [c for c in df.columns if c != column]
+    return df.join(to, column, "left" if keep else "inner").select(*rest, F.coalesce("_root", column).alias(column))
+
+
+def contracted(edges: DataFrame) -> list[DataFrame]:
+    """Maps (node, root), to be applied one after another, that take each node of edges (a, b) to the least of its component."""
+    edges, n = counted(edges.where("a <> b").distinct())
+    hooks = []
+    while n:
+        both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         hook = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
-        for _ in range(2):
-            up = hook.select(F.col("node").alias("root"), F.col("root").alias("up"))
-            hook = cut(hook.join(up, "root").select("node", F.col("up").alias("root")))
-        of = lambda c, to: hook.select(F.col("node").alias(c), F.col("root").alias(to))
-        edges = cut(edges.join(of("a", "ra"), "a").join(of("b", "rb"), "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct())
-        if roots is None:
-            roots = hook
-        else:
-            roots = cut(roots.join(of("root", "up"), "root", "left").select("node", F.coalesce("up", "root").alias("root")))
-    return roots if roots is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        hook = cut(mapped(mapped(hook, "root", hook, False), "root", hook, False))
+        hooks.append(hook)
+        edges, n = counted(mapped(mapped(edges, "a", hook, False), "b", hook, False).where("a <> b").distinct())
+    return hooks
 
 
 class _Labels:
@@ -195,32 +259,55 @@ class _Labels:
         self.labels = cut(nodes.select("node", F.col("node").alias("label")))
         self.sketches, self.texts = sketches, texts
 
-    def side(self, c: str) -> DataFrame:
-        return self.labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}"))
+    def side(self, c: str, what: DataFrame, value: str) -> DataFrame:
+        return what.select(F.col("node").alias(c), F.col(value).alias(f"{value}_{c}")).hint("merge")
+
+    def with_both(self, pairs: DataFrame, what: DataFrame, value: str) -> DataFrame:
+        return pairs.join(self.side("a", what, value), "a").join(self.side("b", what, value), "b")
 
     def apart(self, pairs: DataFrame) -> DataFrame:
         """The pairs that are not within one component."""
-        return pairs.join(self.side("a"), "a").join(self.side("b"), "b").where("la <> lb").drop("la", "lb")
+        return self.with_both(pairs, self.labels, "label").where("label_a <> label_b").drop("label_a", "label_b")
+
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose packed sketches are similar enough, with the estimate e."""
+        both = self.with_both(pairs, self.sketches, "sketch")
+        return both.select("a", "b", estimate(F.col("sketch_a"), F.col("sketch_b")).alias("e")).where(F.col("e") >= ESTIMATE)
 
     def confirm(self, pairs: DataFrame) -> None:
-        side = lambda c: self.texts.select(F.col("node").alias(c), F.col("text").alias(f"t{c}"))
-        full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
-        links = cut(full.mapInArrow(_confirmed, "a long, b long"))
-        joined = components(links.join(self.side("a"), "a").join(self.side("b"), "b").select(F.col("la").alias("a"), F.col("lb").alias("b")))
-        moved = joined.select(F.col("node").alias("label"), F.col("root").alias("to"))
-        self.labels = cut(self.labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label")))
-
-    def settle(self, pairs: DataFrame) -> None:
-        """Confirms pairs (a, b) that may be similar: first the best of each b, then those still apart."""
-        side = lambda c: self.sketches.select(F.col("node").alias(c), F.col("sketch").alias(f"s{c}"))
-        near = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", estimate(F.col("sa"), F.col("sb")).alias("e")).where(F.col("e") >= ESTIMATE)
-        near = cut(near)
-        if near.isEmpty():
-            return
-        self.confirm(near.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")).select("a", "b"))
-        rest = cut(self.apart(near.select("a", "b")))
-        if not rest.isEmpty():
-            self.confirm(rest)
+        """Joins the components of the pairs whose full sets are similar enough."""
+        full = self.with_both(pairs.select("a", "b"), self.texts, "text").select("a", "b", "text_a", "text_b")
+        self.join(full.mapInArrow(_confirmed, "a long, b long"))
+
+    def join(self, links: DataFrame) -> None:
+        """Makes one component of the components that each link connects."""
+        links, n = counted(links)
+        if n:
+            by_label = self.with_both(links, self.labels, "label").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+            labels = self.labels
+            for hook in contracted(by_label):
+                labels = mapped(labels, "label", hook, True)
+            self.labels = cut(labels)
+
+
+    def settle(self, members: DataFrame) -> None:
+        """Confirms in blocks whatever pairs the buckets of `members` (bucket, node) still hold."""
+        star = members.join(members.groupBy("bucket").agg(F.min("node").alias("a")).hint("merge"), "bucket").select("a", F.col("node").alias("b")).distinct()
+        placed = members.select("node").distinct().withColumn("cluster", F.col("node"))
+        for hook in contracted(star):
+            placed = mapped(placed, "cluster", hook, True)
+        placed = cut(placed.join(self.labels.hint("merge"), "node"))
+        sizes = placed.groupBy("cluster", "label").count().groupBy("cluster").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("major"))
+        rows = placed.join(sizes.hint("merge"), "cluster").withColumn("query", F.col("label") != F.col("major")).join(self.texts.hint("merge"), "node")
+        bytes_ = F.octet_length("text").cast("long")
+        total = rows.groupBy("cluster").agg(F.ceil(F.sum(F.when(F.col("query"), bytes_)) / QUERY_BYTES).cast("int").alias("qs"), F.ceil(F.sum(bytes_) / MEMBER_BYTES).cast("int").alias("ms"))
+        rows = rows.join(total.hint("merge"), "cluster").where("qs is not null")
+        hashed = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
+        every = lambda of: F.sequence(F.lit(0), F.col(of) - 1)
+        as_member = rows.select("cluster", hashed("ms").alias("m"), F.explode(every("qs")).alias("q"), "node", "label", F.lit(False).alias("query"), "text")
+        as_query = rows.where("query").select("cluster", F.explode(every("ms")).alias("m"), hashed("qs").alias("q"), "node", "label", F.lit(True).alias("query"), "text")
+        blocks = as_member.unionByName(as_query).groupBy("cluster", "m", "q")
+        self.join(blocks.applyInArrow(_links_of_block, "a long, b long"))
 
 
 def groups(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -237,19 +324,32 @@ def groups(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
         .select("bucket", "node", F.row_number().over(bucket.orderBy("node")).alias("rank"), F.count("*").over(bucket).alias("n"))
         .where("n > 1")
     )
-    members = cut(members)
+    members, n = counted(members)
     nodes = cut(members.select("node").distinct())
     texts = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     labels = _Labels(nodes, sets.select("node", "sketch").join(nodes, "node", "left_semi"), written(texts.withColumnRenamed("doc_id", "node"), "near-texts"))
     low, high = 1, 2  # hubs of this round: ranks low <= rank < high
-    while not members.isEmpty():
-        hubs = members.where((F.col("rank") >= low) & (F.col("rank") < high)).select("bucket", F.col("node").alias("a"), F.col("rank").alias("ra"))
-        pairs = members.join(hubs, "bucket").where("rank > ra").select("a", F.col("node").alias("b")).distinct()
-        labels.settle(pairs if low == 1 else labels.apart(pairs))
-        members = members.where(F.col("n") > high) if low > 1 else members.where("n > 2")
-        state = members.join(labels.labels, "node").groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("bucket")
-        members = cut(members.join(state, "bucket", "left_semi"))
-        low, high = high, 2 * high
+    while n:
+        hubs = members.where((F.col("rank") >= low) & (F.col("rank") < high))
+        if low == 1:
+            pairs = members.where("rank > 1").join(hubs.select("bucket", F.col("node").alias("a")).hint("merge"), "bucket").select("a", F.col("node").alias("b")).distinct()
+        else:
+            hubs = hubs.select("bucket", F.col("node").alias("_hub"), F.col("label").alias("_other")).hint("merge")
+            pairs = members.where("label <> major").join(hubs, "bucket").where("label <> _other").select(F.least("node", "_hub").alias("a"), F.greatest("node", "_hub").alias("b")).distinct()
+        pairs, found = counted(labels.near(pairs))
+        if found and low == 1:
+            labels.confirm(pairs.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")))
+            pairs, found = counted(labels.apart(pairs))
+        if found:
+            labels.confirm(pairs)
+        low, high = high, 4 * high
+        last = low >= HUBS
+        labelled = members.select("bucket", "node", "rank", "n").where(F.col("n") >= low).join(labels.labels.hint("merge"), "node")
+        sizes = labelled.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("major"), F.count("*").alias("k"))
+        members, n = counted(labelled.join(sizes.where("k > 1").drop("k").hint("merge"), "bucket"))
+        if n and last:
+            labels.settle(members)
+            break
     found = sets.select("set_a", "set_b", "node").join(labels.labels, "node", "left").select("set_a", "set_b", F.coalesce("label", "node").alias("component"))
     rows = sketched.select("doc_id", "n_shingles", "set_a", "set_b")
     with_set = rows.where("n_shingles > 0").join(found, ["set_a", "set_b"])
