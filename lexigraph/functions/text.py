@@ -40,8 +40,10 @@ def laid_out(gaps: Column, parts: Column) -> Column:
 
 
 def find_all(text: Column, pattern: str, flags: str = "i") -> Column:
-    """array<struct<word,start,end>> of the pattern's non-overlapping matches; offsets are code points."""
-    whole = F.lit(f"(?{flags}sU)(.*?)({pattern})")
+    """array<struct<word,start,end>> of the pattern's non-overlapping matches; offsets are code points.
+
+    Each search starts where the last match ended, so a text without matches is read once."""
+    whole = F.lit(f"(?{flags}sU)\\G(.*?)({pattern})")
     return laid_out(F.regexp_extract_all(text, whole, F.lit(1)), F.regexp_extract_all(text, whole, F.lit(2)))
 
 
