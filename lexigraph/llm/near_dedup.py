@@ -46,7 +46,7 @@ PERCENT = 75
 BANDS, ROWS, BITS = 32, 4, 4
 PERMUTATIONS = BANDS * ROWS
 #: Ranks of a bucket that serve as hubs before what is left of it is settled in blocks.
-HUBS = 16
+HUBS = 8
 #: Bytes of text of a block's queries, and of its members.
 QUERY_BYTES, MEMBER_BYTES = 1 << 20, 4 << 20
 #: Estimated similarity from which a candidate pair is confirmed on full sets.
