@@ -37,7 +37,8 @@ LENGTH = 50
 PART_BYTES = 8 << 20
 BLOCK_BYTES = 1 << 20
 #: Strings that a batch of the index family holds, at least.
-BATCH = 1 << 16
+BATCH = 1 << 17
+NOWHERE = np.iinfo(np.int64).max
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -206,23 +207,36 @@ class Level:
     """A suffix array cut at LENGTH bytes: distinct strings in order, each with its smallest document."""
 
     def __init__(self, strings: np.ndarray, doc: np.ndarray):
-        order = np.lexsort((doc, strings)) if len(strings) else np.zeros(0, np.int64)
-        strings, doc = strings[order], doc[order]
+        self.strings, self.doc = strings, doc
+
+    @classmethod
+    def of(cls, strings: np.ndarray, doc: np.ndarray) -> tuple[Level, np.ndarray]:
+        """The level of strings in any order whose documents ascend (of equal strings the first has the smallest),
+        and each string's place in it."""
+        order = np.argsort(strings, kind="stable")
+        strings = strings[order]
         new = np.concatenate([[True], strings[1:] != strings[:-1]]) if len(strings) else np.zeros(0, bool)
-        self.strings, self.doc = strings[new], doc[new]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        return cls(strings[new], doc[order][new]), place
 
     def __len__(self) -> int:
         return len(self.strings)
 
-    def scan(self, batch: Level) -> np.ndarray:
-        """For each string of another level, its smallest document here, or the largest integer."""
-        out = np.full(len(batch), np.iinfo(np.int64).max)
-        at = np.searchsorted(self.strings, batch.strings)
+    def scan(self, strings: np.ndarray) -> np.ndarray:
+        """For each of some strings in order, its smallest document here, or the largest integer."""
+        out = np.full(len(strings), NOWHERE)
+        at = np.searchsorted(self.strings, strings)
         at[at == len(self)] = 0
-        hit = self.strings[at] == batch.strings
+        hit = self.strings[at] == strings
         out[hit] = self.doc[at[hit]]
         return out
 
+    def merged(self, other: Level) -> Level:
+        """Both levels as one; they have no string in common."""
+        at = np.searchsorted(self.strings, other.strings)
+        return Level(np.insert(self.strings, at, other.strings), np.insert(self.doc, at, other.doc))
+
 
 class IndexFamily:
     """Levels of at least doubling size; documents arrive in ascending order."""
@@ -230,18 +244,18 @@ class IndexFamily:
     def __init__(self):
         self.levels: list[Level] = []
 
-    def smallest(self, batch: Level) -> np.ndarray:
-        """Each string's smallest document among the levels and the batch."""
-        out = batch.doc.copy()
+    def meet(self, batch: Level) -> np.ndarray:
+        """Each string's smallest document so far; the batch's new strings enter as a level of their own."""
+        known = np.full(len(batch), NOWHERE)
         for level in self.levels:
-            np.minimum(out, level.scan(batch), out=out)
-        return out
-
-    def add(self, batch: Level) -> None:
-        self.levels.append(batch)
+            np.minimum(known, level.scan(batch.strings), out=known)
+        new = known == NOWHERE
+        if new.any():
+            self.levels.append(Level(batch.strings[new], batch.doc[new]))
         while len(self.levels) > 1 and len(self.levels[-2]) <= 2 * len(self.levels[-1]):
             b, a = self.levels.pop(), self.levels.pop()
-            self.levels.append(Level(np.concatenate([a.strings, b.strings]), np.concatenate([a.doc, b.doc])))
+            self.levels.append(a.merged(b))
+        return np.minimum(known, batch.doc)
 
 
 def _strings(body: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -265,10 +279,8 @@ def repeated(docs: np.ndarray, sizes: np.ndarray, body: np.ndarray, batch: int =
         which = np.repeat(np.arange(at, to), m)
         start = np.arange(len(which)) - np.repeat(np.cumsum(m) - m, m) + (begin[which] - begin[at])
         strings = _strings(body[begin[at] : begin[to - 1] + sizes[to - 1]], start)
-        level = Level(strings, docs[which])
-        least = family.smallest(level)
-        flags[low : low + len(which)] = least[np.searchsorted(level.strings, strings)] < docs[which]
-        family.add(level)
+        level, place = Level.of(strings, docs[which])
+        flags[low : low + len(which)] = family.meet(level)[place] < docs[which]
         at = to
     return flags
 

@@ -169,7 +169,7 @@ def test_index_family_merges_geometrically():
     assert (a == b).all()
     family = repeats.IndexFamily()
     for k in range(64):
-        family.add(repeats.Level(np.array([f"{k:050d}"], "S50"), np.array([k])))
+        family.meet(repeats.Level.of(np.array([f"{k:050d}", f"{k // 2:050d}"], "S50"), np.array([k, k]))[0])
     assert len(family.levels) <= 7 and sum(map(len, family.levels)) == 64
 
 
