@@ -31,8 +31,11 @@ RULES = (
     ("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"),
     ("example.net", "/de/8", "block"), ("org", "/es/", "block"),
 )
+#: The method's own list, also given in the README: families of hosts, under each of the tops that pages are served from.
+BLOCKED_FAMILIES = ("spam-farm", "cheap-pills", "casino-win", "free-bets", "adult-x", "ads-track")
+TOPS = ("com", "net", "org")
 #: Hosts that are blocked with all their subdomains where no rule fits.
-BLOCKED_HOSTS = tuple(f"{name}.example.{top}" for name in ("spam-farm", "cheap-pills") for top in ("com", "net", "org"))
+BLOCKED_HOSTS = tuple(f"{name}.example.{top}" for name in BLOCKED_FAMILIES for top in TOPS)
 
 URL = re.compile(r"://([^/?#]*)([^?#]*)", re.S)
 UPPER = {c: c + 32 for c in range(65, 91)}

@@ -216,6 +216,15 @@ def test_urls(spark):
     assert url_filter.judged(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("family", ["spam-farm", "cheap-pills", "casino-win", "free-bets", "adult-x", "ads-track"])
+def test_every_family_of_hosts_is_blocked(spark, family):
+    hosts = [f"{sub}{family}.example.{top}" for sub in ("", "m.", "a.b.") for top in ("com", "net", "org")]
+    near = [f"not{family}.example.com", f"{family}.example.com.x", f"{family}x.example.net"]
+    df = spark.createDataFrame(list(enumerate(f"http://{h}/p" for h in hosts + near)), "page_id long, url string")
+    got = {r.host: r.verdict for r in url_filter.judged(df).collect()}
+    assert got == {h: "block" for h in hosts} | {h: "allow" for h in near}
+
+
 def test_cascade_is_exact(spark):
     keys = [f"k{n}" for n in range(5000)]
     listed = keys[::40] + ["not in the corpus"]
