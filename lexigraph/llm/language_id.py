@@ -3,11 +3,14 @@
 Byte bigrams and trigrams of the lower-cased text are hashed into a fixed number of dimensions, weighted
 by log(1 + tf) * idf and scaled to length one. Each language has several centroids, found by spherical
 k-means over a bounded sample of its labelled rows. A text goes to the language of the centroid with the
-largest cosine; a text whose cosine is below a distance learned from the sample is rejected.
+largest cosine; a text whose cosine is below a distance learned from the sample is rejected. A text with
+few n-grams can't come near a centroid of many, so the distance is learned by size (the number of different
+n-grams, in powers of two) from pieces of 1 to 64 words of the sample's texts; a text of fewer than JUDGED
+different n-grams (a short word) is too little to be judged by distance: with a letter, it stays.
 
 The sample is bounded by `sample` rows for each language (those with the smallest hash of their id), the
 same bound at every size of the corpus; prediction covers every whole text. What reaches the driver is
-the sample's vectors: sample x languages x DIMENSIONS floats.
+the sample's vectors, sample x languages x DIMENSIONS floats, and the first HEAD bytes of its texts.
 
 Defined cases: null text, or text without a letter: `und`, score 0, rejected; no labelled row to learn
 from: `und` for all; rows without doc_id get no row; repeated rows each get a row.
@@ -23,13 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, identified, in_blocks, small_batches, text_bytes
+from .common import LOWER, identified, in_blocks, small_batches, text_bytes, words
 
 DIMENSIONS = 4096
 CLUSTERS = 3
 SAMPLE = 300
-#: A text is rejected below this share of the smallest cosine that 99.5 % of the sample reach.
+#: A text is rejected below this share of the smallest cosine that 99.5 % of the sample's texts or pieces of its size reach.
 REJECT = 0.35
+#: Different n-grams from which a text is judged by distance.
+JUDGED = 12
+#: Words of the pieces that the distances of short texts are learned from, pieces of each text and length, and bytes of
+#: each text that they are taken from.
+PIECES, EACH, HEAD = (1, 2, 4, 8, 16, 32, 64), 4, 2048
 
 _LETTERS = np.full(256, 32, np.uint8)
 _LETTERS[128:] = np.arange(128, 256)
@@ -64,7 +72,7 @@ class Model:
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
-    least: float
+    least: np.ndarray  # by size()
 
     def vectors(self, tf: np.ndarray) -> np.ndarray:
         v = np.log1p(tf.astype(np.float32)) * self.idf
@@ -75,6 +83,15 @@ class Model:
         best = cosine.argmax(axis=1)
         return [self.languages[k] for k in best], np.clip(cosine[np.arange(len(best)), best], 0, 1).astype(float)
 
+    def bounds(self, tf: np.ndarray) -> np.ndarray:
+        """The cosine below which each text is rejected."""
+        return np.where(np.count_nonzero(tf, axis=1) < JUDGED, 0.0, self.least[size(tf)])
+
+
+def size(tf: np.ndarray) -> np.ndarray:
+    """Bits of the number of different n-grams of each text."""
+    return np.frexp(np.count_nonzero(tf, axis=1))[1]
+
 
 def clustered(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Spherical k-means; starts from the mean's nearest row and then the rows farthest from all starts."""
@@ -89,15 +106,47 @@ def clustered(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def fit(tf: np.ndarray, langs: list[str], clusters: int = CLUSTERS, reject: float = REJECT) -> Model:
+def pieces(heads: list[bytes], length: int) -> list[bytes]:
+    """Up to EACH runs of `length` words of each text, spread over it."""
+    out = []
+    for head in heads:
+        start, end, _ = words(np.frombuffer(head, np.uint8), np.array([0, len(head)]))
+        last = len(start) - length
+        if last >= 0:
+            out += [head[start[k] : end[k + length - 1]] for k in sorted({last * j // max(1, EACH - 1) for j in range(EACH)})]
+    return out
+
+
+def learned_bounds(model: Model, tf: np.ndarray, heads: list[bytes], reject: float) -> np.ndarray:
+    """The least cosine by size, never larger for a smaller size."""
+
+    def seen(tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return size(tf), model.predict(tf)[1]
+
+    parts = [seen(tf)]
+    for length in PIECES:
+        cut = pieces(heads, length)
+        for at in range(0, len(cut), 256):  # a few MB of counts at a time
+            parts.append(seen(counts(*text_bytes(pa.array(cut[at : at + 256], pa.binary())))))
+    sizes, cosine = (np.concatenate(x) for x in zip(*parts, strict=True))
+    least = np.zeros(size(np.ones((1, model.centroids.shape[1])))[0] + 1)
+    bound = reject * float(np.quantile(parts[0][1], 0.005))  # of the whole texts
+    for k in reversed(range(len(least))):
+        if (sizes == k).any():
+            bound = min(bound, reject * float(np.quantile(cosine[sizes == k], 0.005)))
+        least[k] = bound
+    return least
+
+
+def fit(tf: np.ndarray, langs: list[str], heads: list[bytes], clusters: int = CLUSTERS, reject: float = REJECT) -> Model:
     idf = np.log((1 + len(tf)) / (1 + (tf > 0).sum(axis=0))).astype(np.float32) + 1
-    model = Model(idf, np.zeros((0, tf.shape[1]), np.float32), [], 0.0)
+    model = Model(idf, np.zeros((0, tf.shape[1]), np.float32), [], np.zeros(1))
     v, names = model.vectors(tf), np.array(langs)
     for lang in sorted(set(langs)):
         c = clustered(v[names == lang], clusters)
         model.centroids = np.concatenate([model.centroids, c.astype(np.float32)])
         model.languages += [lang] * len(c)
-    model.least = reject * float(np.quantile((v @ model.centroids.T).max(axis=1), 0.005))
+    model.least = learned_bounds(model, tf, heads, reject)
     return model
 
 
@@ -115,13 +164,14 @@ def learned(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches, 1 << 20, text):
             tf = counts(*text_bytes(batch.column(1))).astype(np.int32)
-            yield pa.RecordBatch.from_pydict({"key": batch.column(0).cast(pa.int64()), "lang": batch.column(2).cast(pa.string()), "tf": pa.array([x.tobytes() for x in tf], pa.binary())})
+            head = [(t or "").encode()[:HEAD] for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_pydict({"key": batch.column(0).cast(pa.int64()), "lang": batch.column(2).cast(pa.string()), "tf": pa.array([x.tobytes() for x in tf], pa.binary()), "head": pa.array(head, pa.binary())})
 
-    rows = usable.where(F.col(key).isin(ids)).mapInArrow(vectors, "key long, lang string, tf binary").collect() if ids else []
+    rows = usable.where(F.col(key).isin(ids)).mapInArrow(vectors, "key long, lang string, tf binary, head binary").collect() if ids else []
     if not rows:
         return None
     rows.sort(key=lambda r: (r.key, r.lang))
-    return fit(np.stack([np.frombuffer(r.tf, np.int32) for r in rows]), [r.lang for r in rows])
+    return fit(np.stack([np.frombuffer(r.tf, np.int32) for r in rows]), [r.lang for r in rows], [r.head for r in rows])
 
 
 def has_letter(text: str | None) -> bool:
@@ -142,13 +192,15 @@ def predicted(df: DataFrame, model: Model | None, text: str = "text", key: str =
             place = batch.schema.get_field_index(text)
             column = batch.column(place)
             if model is None:
-                lang, score = ["und"] * batch.num_rows, np.zeros(batch.num_rows)
+                lang, score, least = ["und"] * batch.num_rows, np.zeros(batch.num_rows), 0
             else:
-                lang, score = model.predict(counts(*text_bytes(column)))
+                tf = counts(*text_bytes(column))
+                lang, score = model.predict(tf)
+                least = model.bounds(tf)
                 bare = [k for k, t in enumerate(column.to_pylist()) if not has_letter(t)]
                 for k in bare:
                     lang[k], score[k] = "und", 0.0
-            rejected = np.array([x == "und" for x in lang]) | (score < (model.least if model else 0))
+            rejected = np.array([x == "und" for x in lang]) | (score < least)
             if carry is not None:
                 yield batch.filter(pa.array(~rejected))
             else:

@@ -194,6 +194,18 @@ def test_languages(spark):
     assert {r.lang_pred for r in language_id.languages(docs(spark, [(1, "ka", None, "s")])).collect()} == {"und"}
 
 
+def test_one_word_documents_stay(spark):
+    rng = random.Random(6)
+    made = {lang: ["".join(rng.choice(letters) for _ in range(rng.randint(2, 9))) for _ in range(2000)] for lang, letters in {"xx": "abcdefghij", "yy": "klmnopqrs", "zz": "\u00e9\u00e8tuvwxyz"}.items()}
+    rows = [(k, " ".join(rng.choice(made[lang]) for _ in range(150)) + ".", lang, "s") for k, lang in enumerate(rng.choices(list(made), k=240))]
+    model = language_id.learned(docs(spark, rows))
+    short = [(1000 + k, word.capitalize() + ".", lang, "s") for k, (lang, word) in enumerate((lang, w) for lang in made for w in rng.sample(made[lang], 60))]
+    odd = [(2000, "a", None, "s"), (2001, "7.", None, "s"), (2002, "\u65e5\u672c\u8a9e\u6587\u66f8\u4e2d\u56fd", None, "s")]
+    kept = language_id.predicted(docs(spark, short + odd), model, carry=["doc_id", "text"])
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, *_ in short] + [2000]
+    assert (np.diff(model.least) >= 0).all() and model.least[0] < model.least[-1]
+
+
 # ---- URLs -------------------------------------------------------------------------------------------
 
 def judged_by_hand(url):
