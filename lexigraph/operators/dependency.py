@@ -18,16 +18,16 @@ METHOD = "spacy_dependency"
 SKIPPED = ("det", "punct", "cc")
 #: Dependents that belong to the noun chunk of their head.
 CHUNK_DEPS = ("det", "amod", "compound", "nummod", "poss", "nmod", "quantmod")
-#: Steps of chains (of conjuncts, of prepositions) that are followed.
-DEPTH = 8
 
 
-def _chained(start: DataFrame, step: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """start (KEY, i, to) with `to` moved along step (KEY, to, next) as often as it goes, at most `depth` times."""
-    out = start
-    for _ in range(depth):
-        out = out.join(step, [*KEY, "to"], "left").select(*KEY, "i", F.coalesce("next", "to").alias("to"))
-    return out
+def _chained(start: DataFrame, step: DataFrame) -> DataFrame:
+    """start (KEY, i, to) with `to` moved along step (KEY, to, next) as often as it goes. No chain has more steps
+    than its sentence, so a job finds how often the steps must be doubled until none moves."""
+    most = step.groupBy(*KEY).count().agg(F.max("count")).first()[0] or 1
+    for _ in range((most - 1).bit_length()):
+        further = step.select(*KEY, F.col("to").alias("next"), F.col("next").alias("_further"))
+        step = step.join(further, [*KEY, "next"], "left").select(*KEY, "to", F.coalesce("_further", "next").alias("next"))
+    return start.join(step, [*KEY, "to"], "left").select(*KEY, "i", F.coalesce("next", "to").alias("to"))
 
 
 def conjunct_groups(tokens: DataFrame) -> DataFrame:

@@ -99,6 +99,19 @@ def test_interior_entity_and_distance(spark):
     assert why[("lesion", "thyroid")] == "interior entity"
 
 
+def test_long_chains(spark):
+    n = 20
+    words = [("w0", "w0", "nsubj", n)] + [(f"w{k}", f"w{k}", "conj", k - 1) for k in range(1, n)] + [("cause", "cause", "ROOT", n), ("pain", "pain", "dobj", n)]
+    tokens = parse(spark, words)
+    assert {r.lead for r in dependency.conjunct_groups(tokens).where(f"i < {n}").collect()} == {0}
+    ents = entities_of(spark, " ".join(w for w, *_ in words), [(f"w{k}", "DISEASE_DISORDER") for k in (0, 18, 19)] + [("pain", "DISEASE_DISORDER")])
+    got = dependency.verb_relations(tokens, ents, ontology.verbs(spark), ontology.licences(spark)).collect()
+    assert {(r.entity1, r.entity2) for r in got} == {(f"w{k}", "pain") for k in (0, 18, 19)}
+    assert {(r.entity1, r.entity2) for r in dependency.path_pairs(tokens, ents).collect()} == {("w0", "pain")}
+    preps = parse(spark, [("a", "a", "ROOT", 0)] + [("of", "of", "prep", k) for k in range(12)] + [("x", "x", "pobj", 12), ("y", "y", "conj", 12)])
+    assert (14, 0) in {(r.a, r.b) for r in dependency.collapsed_edges(preps).collect()}
+
+
 def test_attachments(spark):
     words = [("severe", "severe", "amod", 3), ("and", "and", "cc", 0), ("red", "red", "conj", 0), ("lesion", "lesion", "ROOT", 3)]
     ents = entities_of(spark, "severe and red lesion", [("severe", "SEVERITY"), ("red", "COLOR"), ("lesion", "SIGN_SYMPTOM")])
