@@ -834,7 +834,7 @@ def q_measured_at_least(spark: SparkSession, sf_dir: str) -> DataFrame:
     three AS (SELECT DISTINCT a.start_key, b.end_key FROM two a JOIN step b ON a.end_key = b.start_key)
     SELECT hops, count(*) AS n FROM (SELECT start_key, end_key, min(hops) AS hops FROM (SELECT *, 1 AS hops FROM step UNION ALL SELECT *, 2 FROM two UNION ALL SELECT *, 3 FROM three) GROUP BY ALL) GROUP BY hops"""))
 def q_anatomical_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph_queries.chains(_fact_graph(spark, sf_dir)["edges"], longest=3).groupBy("hops").agg(F.count("*").alias("n"))
+    return graph_queries.chains(_fact_graph(spark, sf_dir)["edges"]).groupBy("hops").agg(F.count("*").alias("n"))
 
 
 @registered(on_facts(f"SELECT c.key AS concept, c.name AS concept_name, count(DISTINCT s.end_key) AS n_patients, count(*) AS n_facts FROM facts f {_ON_PATIENT} GROUP BY ALL"))

@@ -109,6 +109,14 @@ def test_chain_and_site(spark):
     assert got[("a", "c")] == 2 and got[("a", "a")] == 3 and ("a", "d") not in got
 
 
+def test_chains_have_no_longest(spark):
+    rows = [("LOCATED_IN", f"k{k}", f"k{k + 1}") for k in range(9)]
+    edges = spark.createDataFrame(rows, "type string, start_key string, end_key string")
+    got = {(r.start_key, r.end_key): r.hops for r in graph_queries.chains(edges).collect()}
+    assert got == {(f"k{a}", f"k{b}"): b - a for a in range(10) for b in range(a + 1, 10)}
+    assert max(r.hops for r in graph_queries.chains(edges, longest=2).collect()) == 2
+
+
 def test_metrics(spark):
     m = spark.createDataFrame([(1, "A", "AGE", "x", 0.5), (1, "a", "AGE", "y", 1.0), (2, "b", "SEX", "x", 0.7)], "id long, word string, label string, method string, score double")
     labels = ontology.labels(spark)
