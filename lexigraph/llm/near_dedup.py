@@ -2,22 +2,27 @@
 
 Each document's distinct 5-word shingles are hashed, and PERMUTATIONS minima are taken in numpy, a batch of
 documents at a time. Bands of ROWS full minima give candidate buckets; then only the low BITS of each
-minimum are kept, packed into a few longs. Documents with equal sets are one node from then on.
-
-In a bucket, members are ranked by id, and low ranks serve as hubs: the first member, then the next three, and
-four times as many in each round. A round pairs hubs with the members that are outside the bucket's largest
-component and not in the hub's, estimates each pair's similarity from the packed bits (bit counts of the
-XOR, corrected for chance collisions), and confirms what reaches the estimate on the full shingle sets; in
-the first round, each member's best pair comes first. Of two members in different components at least one is
-outside the largest, so when all ranks have been hubs every pair of the bucket has been confirmed, refused,
-or was within one component already.
-
-Buckets of HUBS members or more that still hold several components after their first ranks (clouds of
-variants, of which some are similar to many and near enough to none) are settled in blocks: open buckets
-that share members form clusters; the members outside a cluster's largest component are its queries; blocks
-of queries meet blocks of members on full sets inside one task each, and only links that join components
-leave it. So nothing is capped, a group of n near copies costs about n confirmations, and pairs that come to
-nothing never become rows.
+minimum are kept, packed into a few longs. Documents with equal sets are one node from then on; nodes have
+numbers of their own, so that a doc_id that stands on two texts is two nodes.
+
+A bucket's least node is its first hub: each member's pair with it is estimated from the packed bits (bit
+counts of the XOR, corrected for chance collisions), and what reaches the estimate is confirmed on the full
+shingle sets, each member's best pair first. Buckets that still hold several components get HUBS - 2 further
+hubs, which meet the members outside the bucket's largest component. Of two members in different components at
+least one is outside the largest, so in a bucket of fewer than HUBS members every pair has then been
+confirmed, refused, or was within one component already.
+
+Larger buckets that are still open (clouds of variants, of which some are similar to many and near enough to
+none) are settled in blocks: open buckets that share members form clusters; the members outside a cluster's
+largest component are its queries; a task holds the sets of one block of queries, streams one stripe of the
+cluster's members past them, counts the shared shingles of all those pairs, and gives out the links that join
+components. So nothing is capped, a group of n near copies costs about n confirmations, and pairs that come to
+nothing never become rows. What grows with the square of a cluster is stated here: its members travel once for
+each QUERY_SHINGLES of its queries' shingles, its queries once for each MEMBER_SHINGLES of its members'.
+
+Facts about buckets, clusters, components and sets meet their rows by `spread`: keys with more than a fixed
+share of all rows, of which there can only be a fixed number, by broadcast, and all others by a merge join. No
+step gathers a bucket, a cluster, a component or a group of copies in one task.
 
 Components come from contraction: each node hooks to its least neighbour, paths are halved, and the edges
 between roots are the next round's graph. Links, labels and sets stay in distributed tables throughout.
@@ -27,7 +32,8 @@ five standard deviations above the estimate threshold.
 
 Defined cases: null text, or text without words: no shingles, linked with nothing, kept; fewer words than
 five: the whole sequence is the one shingle; rows without doc_id get no row; rows that repeat a doc_id each
-get a row, in the component of their own text; an empty table gives an empty result.
+get a row, in the component of their own text (whose component_id is the smallest doc_id in it); very long texts
+are hashed alone in their batch; extra columns are unread, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,10 +51,10 @@ WIDTH = 5
 PERCENT = 75
 BANDS, ROWS, BITS = 32, 4, 4
 PERMUTATIONS = BANDS * ROWS
-#: Ranks of a bucket that serve as hubs before what is left of it is settled in blocks.
+#: Buckets of so many members are settled in blocks, if HUBS - 1 hubs haven't made one component of them.
 HUBS = 8
-#: Bytes of text of a block's queries, and of its members.
-QUERY_BYTES, MEMBER_BYTES = 1 << 20, 4 << 20
+#: Shingles of a block's queries, which its task holds, and of its members, which stream past them.
+QUERY_SHINGLES, MEMBER_SHINGLES = 1 << 21, 1 << 23
 #: Estimated similarity from which a candidate pair is confirmed on full sets.
 ESTIMATE = 0.55
 
@@ -139,7 +145,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * np.int32(x.shape[1])), pa.array(x.ravel()))
 
         yield pa.RecordBatch.from_pydict(
-            {"doc_id": batch.column(0), "n_shingles": pa.array(size.astype(np.int64)), "set_a": pa.array(signed(set_a)), "set_b": pa.array(signed(set_b)), "sketch": lists(sketch), "bands": lists(bands)}
+            {"doc_id": batch.column(0), "text_hash": batch.column(2), "n_shingles": pa.array(size.astype(np.int64)), "set_a": pa.array(signed(set_a)), "set_b": pa.array(signed(set_b)), "sketch": lists(sketch), "bands": lists(bands)}
         )
 
 
@@ -164,49 +170,74 @@ def _confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0).filter(good), part.column(1).filter(good)], names=["a", "b"])
 
 
-def _links_of_block(block: pa.Table) -> pa.Table:
-    """node, label, query, text -> pairs a, b that join the labels of similar queries and members."""
-    nodes, labels = block.column("node").to_pylist(), block.column("label").to_pylist()
-    is_query = np.array(block.column("query").to_pylist(), bool)
-    gram, of = shingles(*text_bytes(block.column("text")))
-    size = np.bincount(of, minlength=len(nodes))
-    mine = is_query[of]
-    order = np.argsort(gram[mine], kind="stable")
-    query_gram, query_of = gram[mine][order], of[mine][order]
-    number = np.cumsum(is_query) - 1
-    members = np.flatnonzero(~is_query)
-    gram, of = gram[~mine], of[~mine]
-    low, high = np.searchsorted(query_gram, gram, "left"), np.searchsorted(query_gram, gram, "right")
-    work = np.concatenate([[0], np.cumsum(high - low)])
-    starts = np.searchsorted(of, members)
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
+class _Block:
+    """The shingle sets of a block's queries, and the links that members make with them."""
+
+    def __init__(self, nodes: list[int], labels: list[int], texts: list[bytes]):
+        self.nodes, self.labels = nodes, labels
+        gram, of = shingles(*text_bytes(pa.array(texts, pa.binary())))
+        self.size = np.bincount(of, minlength=len(nodes))
+        order = np.argsort(gram, kind="stable")
+        self.gram, self.of = gram[order], of[order]
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        parent = self.parent
         while parent.setdefault(x, x) != x:
             parent[x] = x = parent[parent[x]]
         return x
 
-    out: list[tuple[int, int]] = []
-    at, queries = 0, np.flatnonzero(is_query)
-    edges = np.concatenate([starts, [len(of)]])
-    while at < len(members):  # as many members at a time as shared shingles allow
-        to = at + 1
-        while to < len(members) and work[edges[to + 1]] - work[edges[at]] <= 1 << 21 and (to - at) * len(queries) <= 1 << 21:
-            to += 1
-        a, b = edges[at], edges[to]
-        n = (high - low)[a:b]
-        place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[a:b], n)
-        row = np.repeat(np.searchsorted(members[at:to], of[a:b]), n)
-        both = np.bincount(row * len(queries) + number[query_of[place]], minlength=(to - at) * len(queries)).reshape(to - at, -1)
-        union = size[members[at:to]][:, None] + size[queries][None] - both
-        for m, q in zip(*np.nonzero((100 * both >= PERCENT * union) & (both > 0)), strict=True):
-            x, y = int(members[at + m]), int(queries[q])
-            rx, ry = root(labels[x]), root(labels[y])
-            if rx != ry:
-                parent[max(rx, ry)] = min(rx, ry)
-                out.append((min(nodes[x], nodes[y]), max(nodes[x], nodes[y])))
-        at = to
-    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+    def links(self, nodes: list[int], labels: list[int], texts: pa.Array) -> Iterator[tuple[int, int]]:
+        """The pairs of a query and one of these members that are similar and join two labels."""
+        gram, of = shingles(*text_bytes(texts))
+        size = np.bincount(of, minlength=len(nodes))
+        low, high = np.searchsorted(self.gram, gram, "left"), np.searchsorted(self.gram, gram, "right")
+        work = np.concatenate([[0], np.cumsum(high - low)])
+        edges = np.concatenate([np.searchsorted(of, np.arange(len(nodes))), [len(of)]])
+        at, queries = 0, len(self.nodes)
+        while at < len(nodes):  # as many members at a time as shared shingles allow
+            to = at + 1
+            while to < len(nodes) and work[edges[to + 1]] - work[edges[at]] <= 1 << 21 and (to + 1 - at) * queries <= 1 << 21:
+                to += 1
+            a, b = edges[at], edges[to]
+            n = (high - low)[a:b]
+            place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[a:b], n)
+            row = np.repeat(of[a:b] - at, n)
+            both = np.bincount(row * queries + self.of[place], minlength=(to - at) * queries).reshape(to - at, -1)
+            union = size[at:to][:, None] + self.size[None] - both
+            for m, q in zip(*np.nonzero((100 * both >= PERCENT * union) & (both > 0)), strict=True):
+                x, y = self.root(labels[at + m]), self.root(self.labels[q])
+                if x != y:
+                    self.parent[max(x, y)] = min(x, y)
+                    yield min(nodes[at + m], self.nodes[q]), max(nodes[at + m], self.nodes[q])
+            at = to
+
+
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """cluster, m, q, member, node, label, text, sorted by the first four -> pairs a, b that join two labels.
+
+    A block's queries come first and are held; its members stream past them."""
+    here, block, held = None, None, ([], [], [])
+    for batch in in_blocks(batches, 1 << 20):
+        key = list(zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True))
+        member = np.array(batch.column(3).to_pylist(), np.int64)
+        out: list[tuple[int, int]] = []
+        cuts = [0, *(k for k in range(1, len(key)) if key[k] != key[k - 1] or member[k] != member[k - 1]), len(key)]
+        for at, to in zip(cuts, cuts[1:], strict=False):
+            if to == at:
+                continue
+            if key[at] != here:
+                here, block, held = key[at], None, ([], [], [])
+            part = batch.slice(at, to - at)
+            nodes, labels = part.column(4).to_pylist(), part.column(5).to_pylist()
+            if not member[at]:
+                for own, new in zip(held, (nodes, labels, part.column(6).cast(pa.binary()).to_pylist()), strict=True):
+                    own.extend(new)
+            elif held[0]:
+                if block is None:
+                    block = _Block(*held)
+                out += block.links(nodes, labels, part.column(6))
+        yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 def estimate(x: Column, y: Column) -> Column:
@@ -252,6 +283,18 @@ def contracted(edges: DataFrame) -> list[DataFrame]:
     return hooks
 
 
+def spread(rows: DataFrame, facts: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """rows with the facts of their keys; rows whose key has none go. facts: one row for each key, with n, the number
+    of its rows; total: the number of all rows.
+
+    Keys with more than one in 4 P of all rows, at most 4 P keys (P: shuffle partitions), are broadcast, so that their
+    rows stay where they are; the rows of all other keys are joined by merging."""
+    most = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    heavy, light = facts.where(F.col("n") * most > total), facts.where(F.col("n") * most <= total)
+    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    return rows.join(F.broadcast(heavy), keys).unionByName(rest.join(light.hint("merge"), keys))
+
+
 class _Labels:
     """Component labels of the candidate nodes, and the confirmation of pairs."""
 
@@ -290,75 +333,91 @@ class _Labels:
             self.labels = cut(labels)
 
 
-    def settle(self, members: DataFrame) -> None:
-        """Confirms in blocks whatever pairs the buckets of `members` (bucket, node) still hold."""
-        star = members.join(members.groupBy("bucket").agg(F.min("node").alias("a")).hint("merge"), "bucket").select("a", F.col("node").alias("b")).distinct()
+    def opened(self, members: DataFrame) -> tuple[DataFrame, int]:
+        """(bucket, first, node, label, major, n) of the buckets that hold several components, and how many rows."""
+        labelled, total = counted(members.select("bucket", "first", "node").join(self.labels.hint("merge"), "node"))
+        sizes = labelled.groupBy("bucket", "label").count().groupBy("bucket")
+        facts = sizes.agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("major"), F.sum("count").alias("n"), F.count("*").alias("_k")).where("_k > 1").drop("_k")
+        return counted(spread(labelled, cut(facts), ["bucket"], total))
+
+    def settle(self, members: DataFrame, sizes: DataFrame) -> None:
+        """Confirms in blocks whatever pairs the buckets of `members` still hold. sizes: node, n_shingles."""
         placed = members.select("node").distinct().withColumn("cluster", F.col("node"))
-        for hook in contracted(star):
+        for hook in contracted(members.select(F.col("first").alias("a"), F.col("node").alias("b"))):
             placed = mapped(placed, "cluster", hook, True)
-        placed = cut(placed.join(self.labels.hint("merge"), "node"))
-        sizes = placed.groupBy("cluster", "label").count().groupBy("cluster").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("major"))
-        rows = placed.join(sizes.hint("merge"), "cluster").withColumn("query", F.col("label") != F.col("major")).join(self.texts.hint("merge"), "node")
-        bytes_ = F.octet_length("text").cast("long")
-        total = rows.groupBy("cluster").agg(F.ceil(F.sum(F.when(F.col("query"), bytes_)) / QUERY_BYTES).cast("int").alias("qs"), F.ceil(F.sum(bytes_) / MEMBER_BYTES).cast("int").alias("ms"))
-        rows = rows.join(total.hint("merge"), "cluster").where("qs is not null")
+        placed, total = counted(placed.join(self.labels.hint("merge"), "node").join(sizes.hint("merge"), "node"))
+        by_label = placed.groupBy("cluster", "label").agg(F.count("*").alias("_c"), F.sum("n_shingles").alias("_s"))
+        facts = by_label.groupBy("cluster").agg(F.max(F.struct("_c", -F.col("label"), "label", "_s")).alias("_m"), F.sum("_c").alias("n"), F.sum("_s").alias("_s"))
+        facts = cut(facts.where("_s > _m._s").select("cluster", "n", F.col("_m.label").alias("major"), F.ceil((F.col("_s") - F.col("_m._s")) / QUERY_SHINGLES).cast("int").alias("qs"), F.ceil(F.col("_s") / MEMBER_SHINGLES).cast("int").alias("ms")))
+        rows = spread(placed, facts, ["cluster"], total)
         hashed = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
-        every = lambda of: F.sequence(F.lit(0), F.col(of) - 1)
-        as_member = rows.select("cluster", hashed("ms").alias("m"), F.explode(every("qs")).alias("q"), "node", "label", F.lit(False).alias("query"), "text")
-        as_query = rows.where("query").select("cluster", F.explode(every("ms")).alias("m"), hashed("qs").alias("q"), "node", "label", F.lit(True).alias("query"), "text")
-        blocks = as_member.unionByName(as_query).groupBy("cluster", "m", "q")
-        self.join(blocks.applyInArrow(_links_of_block, "a long, b long"))
-
-
-def groups(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """key, n_shingles, component_id, kept for each row of df."""
-    small_batches(df.sparkSession, 256)
-    docs = identified(df, text, key=key).toDF("doc_id", "text")
-    sketched = written(docs.mapInArrow(_sketches, "doc_id long, n_shingles long, set_a long, set_b long, sketch array<long>, bands array<long>"), "near-sketches")
-    filled = sketched.where("n_shingles > 0")
-    sets = filled.groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "sketch", "bands")).alias("m"))
-    sets = written(sets.select("set_a", "set_b", F.col("m.doc_id").alias("node"), "m.sketch", "m.bands"), "near-sets")
-    bucket = Window.partitionBy("bucket")
-    members = (
-        sets.select("node", F.explode("bands").alias("bucket"))
-        .select("bucket", "node", F.row_number().over(bucket.orderBy("node")).alias("rank"), F.count("*").over(bucket).alias("n"))
-        .where("n > 1")
-    )
-    members, n = counted(members)
+        every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
+        as_member = rows.select("cluster", hashed("ms").alias("m"), every("qs").alias("q"), F.lit(1).alias("member"), "node", "label")
+        as_query = rows.where("label <> major").select("cluster", every("ms").alias("m"), hashed("qs").alias("q"), F.lit(0).alias("member"), "node", "label")
+        dealt = as_member.unionByName(as_query).join(self.texts.hint("merge"), "node").select("cluster", "m", "q", "member", "node", "label", "text")
+        blocks = dealt.repartition("cluster", "m", "q").sortWithinPartitions("cluster", "m", "q", "member")
+        self.join(blocks.mapInArrow(_block_links, "a long, b long"))
+
+
+def _components(sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, label) of the nodes that share a bucket with another. See the module."""
+    total = BANDS * sets.count()
+    banded = sets.select("node", F.explode("bands").alias("bucket"))
+    facts = cut(banded.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"))
+    members, n = counted(spread(banded, facts, ["bucket"], total).select("bucket", "first", "node"))
     nodes = cut(members.select("node").distinct())
-    texts = docs.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    labels = _Labels(nodes, sets.select("node", "sketch").join(nodes, "node", "left_semi"), written(texts.withColumnRenamed("doc_id", "node"), "near-texts"))
-    low, high = 1, 2  # hubs of this round: ranks low <= rank < high
-    while n:
-        hubs = members.where((F.col("rank") >= low) & (F.col("rank") < high))
-        if low == 1:
-            pairs = members.where("rank > 1").join(hubs.select("bucket", F.col("node").alias("a")).hint("merge"), "bucket").select("a", F.col("node").alias("b")).distinct()
-        else:
-            hubs = hubs.select("bucket", F.col("node").alias("_hub"), F.col("label").alias("_other")).hint("merge")
-            pairs = members.where("label <> major").join(hubs, "bucket").where("label <> _other").select(F.least("node", "_hub").alias("a"), F.greatest("node", "_hub").alias("b")).distinct()
-        pairs, found = counted(labels.near(pairs))
-        if found and low == 1:
+    texts = docs.join(sets.join(nodes, "node", "left_semi").select("node", "doc_id", "text_hash").hint("merge"), ["doc_id", "text_hash"])
+    texts = written(texts.select("node", "text").dropDuplicates(["node"]), "near-texts")
+    labels = _Labels(nodes, sets.select("node", "sketch").join(nodes, "node", "left_semi"), texts)
+    if n:
+        pairs, found = counted(labels.near(members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()))
+        if found:
             labels.confirm(pairs.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")))
             pairs, found = counted(labels.apart(pairs))
         if found:
             labels.confirm(pairs)
-        low, high = high, 4 * high
-        last = low >= HUBS
-        labelled = members.select("bucket", "node", "rank", "n").where(F.col("n") >= low).join(labels.labels.hint("merge"), "node")
-        sizes = labelled.groupBy("bucket", "label").count().groupBy("bucket").agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("major"), F.count("*").alias("k"))
-        members, n = counted(labelled.join(sizes.where("k > 1").drop("k").hint("merge"), "bucket"))
-        if n and last:
-            labels.settle(members)
-            break
-    found = sets.select("set_a", "set_b", "node").join(labels.labels, "node", "left").select("set_a", "set_b", F.coalesce("label", "node").alias("component"))
-    rows = sketched.select("doc_id", "n_shingles", "set_a", "set_b")
-    with_set = rows.where("n_shingles > 0").join(found, ["set_a", "set_b"])
+        members, n = labels.opened(members)
+    if n:
+        ranked = members.where("node <> first").withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("node"))).where(F.col("_r") <= HUBS - 2)
+        hubs = cut(ranked.groupBy("bucket").agg(F.collect_list(F.struct("node", "label")).alias("_hubs"), F.first("n").alias("n")))
+        met = spread(members.where("label <> major").drop("n"), hubs, ["bucket"], n).withColumn("_h", F.explode("_hubs")).where("label <> _h.label")
+        pairs, found = counted(labels.near(met.select(F.least("node", "_h.node").alias("a"), F.greatest("node", "_h.node").alias("b")).distinct()))
+        if found:
+            labels.confirm(pairs)
+        members, n = labels.opened(members.where(F.col("n") >= HUBS))
+    if n:
+        labels.settle(members, sets.select("node", "n_shingles"))
+    return labels.labels
+
+
+def _grouped(df: DataFrame, text: str, key: str) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component for each row of df that has a key."""
+    small_batches(df.sparkSession, 256)
+    docs = identified(df, text, key=key).toDF("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    fields = "doc_id long, text_hash long, n_shingles long, set_a long, set_b long, sketch array<long>, bands array<long>"
+    sketched = written(docs.mapInArrow(_sketches, fields), "near-sketches")
+    filled = sketched.where("n_shingles > 0")
+    one = F.min(F.struct("doc_id", "text_hash", "n_shingles", "sketch", "bands")).alias("_m")
+    sets = filled.groupBy("set_a", "set_b").agg(one, F.count("*").alias("n")).select("set_a", "set_b", "n", "_m.*")
+    sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "near-sets")
+    labelled, found = counted(sets.select("node", "doc_id").join(_components(sets, docs).hint("merge"), "node"))
+    least = cut(labelled.groupBy("label").agg(F.min("doc_id").alias("component"), F.count("*").alias("n")))
+    named = spread(labelled.select("node", "label"), least, ["label"], found).select("node", "component")
+    facts = sets.select("node", "set_a", "set_b", "n", "doc_id").join(named.hint("merge"), "node", "left").select("set_a", "set_b", "n", F.coalesce("component", "doc_id").alias("component"))
+    rows = sketched.select("doc_id", "text_hash", "n_shingles", "set_a", "set_b")
+    with_set = spread(rows.where("n_shingles > 0"), cut(facts), ["set_a", "set_b"], sketched.count())
     bare = rows.where("n_shingles = 0").withColumn("component", F.col("doc_id"))
-    out = with_set.select("doc_id", "n_shingles", "component").unionByName(bare.select("doc_id", "n_shingles", "component"))
+    columns = ["doc_id", "text_hash", "n_shingles", "component"]
+    return with_set.select(*columns).unionByName(bare.select(*columns))
+
+
+def groups(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """key, n_shingles, component_id, kept for each row of df."""
+    out = _grouped(df, text, key)
     return out.select(F.col("doc_id").alias(key), "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept"))
 
 
 def deduplicated(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of df whose document stays, with df's columns."""
-    kept = groups(df, text, key).where("kept").select(F.col(key).alias("_kept_id"))
-    return df.join(kept, df[key] == kept["_kept_id"], "left_semi")
+    kept = _grouped(df, text, key).where("doc_id = component").select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")).distinct()
+    return df.join(kept, (df[key] == kept["_kept_id"]) & (F.xxhash64(df[text]) == kept["_kept_hash"]), "left_semi")

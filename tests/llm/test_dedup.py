@@ -91,16 +91,25 @@ def variants(seed=3):
     return rows + [(500, None), (501, ""), (502, "a b"), (503, "A  b"), (504, "a b c"), (505, rows[0][1].upper().replace("W", "w")), (506, " \n"), (507, "q " * 20_000), (508, "q " * 9)]
 
 
-@pytest.mark.parametrize("hubs", [16, 2])
+@pytest.mark.parametrize("hubs", [16, near_dedup.HUBS, 3])
 def test_near_groups(spark, hubs, monkeypatch):
     monkeypatch.setattr(near_dedup, "HUBS", hubs)
-    monkeypatch.setattr(near_dedup, "QUERY_BYTES", 2_000)
-    monkeypatch.setattr(near_dedup, "MEMBER_BYTES", 5_000)
+    monkeypatch.setattr(near_dedup, "QUERY_SHINGLES", 300)
+    monkeypatch.setattr(near_dedup, "MEMBER_SHINGLES", 700)
     rows = variants()
     got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_dedup.groups(docs(spark, rows)).collect())
     assert got == near_by_hand(rows)
 
 
+def test_near_doc_id_on_two_texts(spark):
+    rng = np.random.default_rng(8)
+    a, b = (" ".join("w" + str(x) for x in rng.integers(5000, size=60)) for _ in range(2))
+    rows = [(5, a), (5, b), (7, a + " x"), (9, b + " y"), (9, b + " y"), (3, b + " z")]
+    got = sorted((r.doc_id, r.component_id) for r in near_dedup.groups(docs(spark, rows)).collect())
+    assert got == [(3, 3), (5, 3), (5, 5), (7, 5), (9, 3), (9, 3)]
+    assert sorted(r.text for r in near_dedup.deduplicated(docs(spark, rows)).collect()) == sorted([a, b + " z"])
+
+
 def test_near_stage_keeps_columns(spark):
     df = docs(spark, variants()).withColumnRenamed("lang", "label").withColumnRenamed("n_chars", "component_id")
     out = near_dedup.deduplicated(df)
