@@ -48,9 +48,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """checkpoint() into the shared folder, for small frames of iterative operators."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """df as a table in the shared folder, for the steps of iterative operators. A checkpoint would keep the size that
+    the optimizer has estimated, which multiplies with every join until estimating takes longer than joining."""
+    return written(df, "step")
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:

@@ -256,7 +256,7 @@ def estimate(x: Column, y: Column) -> Column:
 
 
 def counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """df cut off from its lineage, and its number of rows, in one job."""
+    """df as a table of the shared folder, and its number of rows, in one job."""
     seen = Observation()
     out = cut(df.observe(seen, F.count(F.lit(1)).alias("n")))
     return out, seen.get["n"]
@@ -277,7 +277,7 @@ def contracted(edges: DataFrame) -> list[DataFrame]:
     while n:
         both = edges.select(F.inline(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))))
         hook = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
-        hook = cut(mapped(mapped(hook, "root", hook, False), "root", hook, False))
+        hook = cut(mapped(hook, "root", hook, False))
         hooks.append(hook)
         edges, n = counted(mapped(mapped(edges, "a", hook, False), "b", hook, False).where("a <> b").distinct())
     return hooks
@@ -288,11 +288,17 @@ def spread(rows: DataFrame, facts: DataFrame, keys: list[str], total: int) -> Da
     of its rows; total: the number of all rows.
 
     Keys with more than one in 4 P of all rows, at most 4 P keys (P: shuffle partitions), are broadcast, so that their
-    rows stay where they are; the rows of all other keys are joined by merging."""
-    most = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    heavy, light = facts.where(F.col("n") * most > total), facts.where(F.col("n") * most <= total)
-    rest = rows.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
-    return rows.join(F.broadcast(heavy), keys).unionByName(rest.join(light.hint("merge"), keys))
+    rows stay where they are; the rows of all other keys are joined by merging. Without such keys there is one join."""
+    seen = Observation()
+    facts = cut(facts.observe(seen, F.max("n").alias("most")))
+    share = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if (seen.get["most"] or 0) * share <= total:
+        return rows.join(facts.hint("merge"), keys)
+    own = [c for c in facts.columns if c not in keys]
+    heavy = facts.where(F.col("n") * share > total).select(*keys, F.struct(*own).alias("_heavy"))
+    marked = rows.join(F.broadcast(heavy), keys, "left")
+    light = marked.where("_heavy is null").drop("_heavy").join(facts.where(F.col("n") * share <= total).hint("merge"), keys)
+    return marked.where("_heavy is not null").select(*rows.columns, "_heavy.*").unionByName(light)
 
 
 class _Labels:
@@ -338,7 +344,7 @@ class _Labels:
         labelled, total = counted(members.select("bucket", "first", "node").join(self.labels.hint("merge"), "node"))
         sizes = labelled.groupBy("bucket", "label").count().groupBy("bucket")
         facts = sizes.agg(F.max_by("label", F.struct("count", -F.col("label"))).alias("major"), F.sum("count").alias("n"), F.count("*").alias("_k")).where("_k > 1").drop("_k")
-        return counted(spread(labelled, cut(facts), ["bucket"], total))
+        return counted(spread(labelled, facts, ["bucket"], total))
 
     def settle(self, members: DataFrame, sizes: DataFrame) -> None:
         """Confirms in blocks whatever pairs the buckets of `members` still hold. sizes: node, n_shingles."""
@@ -348,7 +354,7 @@ class _Labels:
         placed, total = counted(placed.join(self.labels.hint("merge"), "node").join(sizes.hint("merge"), "node"))
         by_label = placed.groupBy("cluster", "label").agg(F.count("*").alias("_c"), F.sum("n_shingles").alias("_s"))
         facts = by_label.groupBy("cluster").agg(F.max(F.struct("_c", -F.col("label"), "label", "_s")).alias("_m"), F.sum("_c").alias("n"), F.sum("_s").alias("_s"))
-        facts = cut(facts.where("_s > _m._s").select("cluster", "n", F.col("_m.label").alias("major"), F.ceil((F.col("_s") - F.col("_m._s")) / QUERY_SHINGLES).cast("int").alias("qs"), F.ceil(F.col("_s") / MEMBER_SHINGLES).cast("int").alias("ms")))
+        facts = facts.where("_s > _m._s").select("cluster", "n", F.col("_m.label").alias("major"), F.ceil((F.col("_s") - F.col("_m._s")) / QUERY_SHINGLES).cast("int").alias("qs"), F.ceil(F.col("_s") / MEMBER_SHINGLES).cast("int").alias("ms"))
         rows = spread(placed, facts, ["cluster"], total)
         hashed = lambda of: F.pmod(F.xxhash64("node"), F.col(of)).cast("int")
         every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of) - 1))
@@ -363,7 +369,7 @@ def _components(sets: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, label) of the nodes that share a bucket with another. See the module."""
     total = BANDS * sets.count()
     banded = sets.select("node", F.explode("bands").alias("bucket"))
-    facts = cut(banded.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1"))
+    facts = banded.groupBy("bucket").agg(F.min("node").alias("first"), F.count("*").alias("n")).where("n > 1")
     members, n = counted(spread(banded, facts, ["bucket"], total).select("bucket", "first", "node"))
     nodes = cut(members.select("node").distinct())
     texts = docs.join(sets.join(nodes, "node", "left_semi").select("node", "doc_id", "text_hash").hint("merge"), ["doc_id", "text_hash"])
@@ -379,7 +385,7 @@ def _components(sets: DataFrame, docs: DataFrame) -> DataFrame:
         members, n = labels.opened(members)
     if n:
         ranked = members.where("node <> first").withColumn("_r", F.row_number().over(Window.partitionBy("bucket").orderBy("node"))).where(F.col("_r") <= HUBS - 2)
-        hubs = cut(ranked.groupBy("bucket").agg(F.collect_list(F.struct("node", "label")).alias("_hubs"), F.first("n").alias("n")))
+        hubs = ranked.groupBy("bucket").agg(F.collect_list(F.struct("node", "label")).alias("_hubs"), F.first("n").alias("n"))
         met = spread(members.where("label <> major").drop("n"), hubs, ["bucket"], n).withColumn("_h", F.explode("_hubs")).where("label <> _h.label")
         pairs, found = counted(labels.near(met.select(F.least("node", "_h.node").alias("a"), F.greatest("node", "_h.node").alias("b")).distinct()))
         if found:
@@ -401,11 +407,11 @@ def _grouped(df: DataFrame, text: str, key: str) -> DataFrame:
     sets = filled.groupBy("set_a", "set_b").agg(one, F.count("*").alias("n")).select("set_a", "set_b", "n", "_m.*")
     sets = written(sets.withColumn("node", F.monotonically_increasing_id()), "near-sets")
     labelled, found = counted(sets.select("node", "doc_id").join(_components(sets, docs).hint("merge"), "node"))
-    least = cut(labelled.groupBy("label").agg(F.min("doc_id").alias("component"), F.count("*").alias("n")))
+    least = labelled.groupBy("label").agg(F.min("doc_id").alias("component"), F.count("*").alias("n"))
     named = spread(labelled.select("node", "label"), least, ["label"], found).select("node", "component")
     facts = sets.select("node", "set_a", "set_b", "n", "doc_id").join(named.hint("merge"), "node", "left").select("set_a", "set_b", "n", F.coalesce("component", "doc_id").alias("component"))
     rows = sketched.select("doc_id", "text_hash", "n_shingles", "set_a", "set_b")
-    with_set = spread(rows.where("n_shingles > 0"), cut(facts), ["set_a", "set_b"], sketched.count())
+    with_set = spread(rows.where("n_shingles > 0"), facts, ["set_a", "set_b"], sketched.count())
     bare = rows.where("n_shingles = 0").withColumn("component", F.col("doc_id"))
     columns = ["doc_id", "text_hash", "n_shingles", "component"]
     return with_set.select(*columns).unionByName(bare.select(*columns))
