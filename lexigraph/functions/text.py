@@ -27,16 +27,32 @@ def clean_text(text: Column) -> Column:
     return F.when(quoted, stripped(s.substr(F.lit(2), F.length(s) - 2))).otherwise(s)
 
 
+#: Parts that are laid out one after another; appending copies no longer an array than this.
+CHUNK = 256
+
+
 def laid_out(gaps: Column, parts: Column) -> Column:
-    """array<struct<word,start,end>> of parts[i], each preceded by gaps[i]."""
-    empty = F.expr("struct(0 as at, cast(array() as array<struct<word: string, start: int, end: int>>) as found)")
+    """array<struct<word,start,end>> of parts[i], each preceded by gaps[i].
+
+    Parts are laid out in chunks, each from 0, and the chunks are then shifted, so that a text of n parts takes
+    about n * CHUNK steps at most."""
+    pairs = F.zip_with(gaps, parts, lambda g, p: F.struct(F.length(g).alias("gap"), p.alias("part")))
+    chunk_type = "struct<at: int, found: array<struct<word: string, start: int, end: int>>>"
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
+        start = acc["at"] + x["gap"]
         end = start + F.length(x["part"])
         return F.struct(end.alias("at"), F.array_append(acc["found"], F.struct(x["part"].alias("word"), start.alias("start"), end.alias("end"))).alias("found"))
 
-    return F.aggregate(F.zip_with(gaps, parts, lambda g, p: F.struct(g.alias("gap"), p.alias("part"))), empty, step, lambda acc: acc["found"])
+    def chunk(x: Column) -> Column:
+        return F.aggregate(x, F.expr(f"cast(struct(0, array()) as {chunk_type})"), step)
+
+    n = F.size(pairs)
+    many = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / CHUNK)), lambda k: chunk(F.slice(pairs, (k * CHUNK + 1).cast("int"), F.lit(CHUNK))))
+    # where each chunk begins: one more element than there are chunks
+    begins = F.aggregate(many, F.expr("struct(0 as at, array(0) as begins)"), lambda acc, c: F.struct((acc["at"] + c["at"]).alias("at"), F.array_append(acc["begins"], acc["at"] + c["at"]).alias("begins")))["begins"]
+    moved = F.zip_with(many, F.slice(begins, F.lit(1), F.size(many)), lambda c, at: F.transform(c["found"], lambda x: F.struct(x["word"].alias("word"), (x["start"] + at).alias("start"), (x["end"] + at).alias("end"))))
+    return F.when(n <= CHUNK, chunk(pairs)["found"]).when(n > CHUNK, F.flatten(moved))
 
 
 def find_all(text: Column, pattern: str, flags: str = "i") -> Column:

@@ -43,7 +43,7 @@ def cue_scopes(tokens: DataFrame, cues: DataFrame, terminators: list[str] = onto
     stop = F.when(F.col("tok").isin(*terminators), F.col("p"))
     words = tokens.withColumn("_next", F.min(stop).over(line.rowsBetween(1, Window.unboundedFollowing))).withColumn("_before", F.max(stop).over(line.rowsBetween(Window.unboundedPreceding, -1)))
     parts = cues.withColumn("_cue", F.split("cue", " ")).withColumn("_n", F.size("_cue"))
-    longest = 4
+    longest = parts.agg(F.max("_n")).first()[0] or 1  # words of the longest cue
     ahead = words.withColumn("_words", F.collect_list("tok").over(line.rowsBetween(0, longest - 1))).withColumn("_stops", F.collect_list(F.coalesce("_next", F.lit(-1))).over(line.rowsBetween(0, longest - 1)))
     hits = ahead.join(F.broadcast(parts), F.col("tok") == F.col("_cue")[0]).where(F.slice("_words", 1, F.greatest("_n", F.lit(1))) == F.col("_cue"))  # the cue table: a fixed argument
     last_of_cue = F.col("p") + F.col("_n") - 1

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ontology
+from ..runtime import cut
 from .dedup import first_per_key
 from .relations import licensed
 
@@ -20,21 +21,16 @@ SKIPPED = ("det", "punct", "cc")
 CHUNK_DEPS = ("det", "amod", "compound", "nummod", "poss", "nmod", "quantmod")
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """df cut off from its lineage, which doubling would double too."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
-
-
 def _chained(start: DataFrame, step: DataFrame) -> DataFrame:
     """start (KEY, i, to) with `to` moved along step (KEY, to, next) as often as it goes: the steps are doubled until
     none moves. No chain has more steps than its sentence, so a circle ends too."""
-    step = _cut(step)
+    step = cut(step)
     most = step.groupBy(*KEY).count().agg(F.max("count")).first()[0] or 1
     for _ in range((most - 1).bit_length()):
         further = step.select(*KEY, F.col("to").alias("next"), F.col("next").alias("_further"))
         if step.join(further, [*KEY, "next"]).isEmpty():
             break
-        step = _cut(step.join(further, [*KEY, "next"], "left").select(*KEY, "to", F.coalesce("_further", "next").alias("next")))
+        step = cut(step.join(further, [*KEY, "next"], "left").select(*KEY, "to", F.coalesce("_further", "next").alias("next")))
     return start.join(step, [*KEY, "to"], "left").select(*KEY, "i", F.coalesce("next", "to").alias("to"))
 
 

@@ -1,6 +1,7 @@
 """Text to mentions: lexicon phrases, patterns, and the union of extraction methods.
 
-A mention's `seq` orders it within its record: source (lexicon before patterns), place in the list, offset.
+A mention's `seq` orders it within its record. Bits 56 and up: the method; bit 55: patterns, after the lexicon; below,
+offset * number of terms + term for the lexicon, pattern << 31 + offset for patterns. Offsets are under 2 ** 31.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from ..functions import ontology, text
 from ..schema import MENTION_CORE, conform
 from .dedup import priority_dedup, priority_rank, resolve_overlaps
 
+#: Terms of one lexicon: with offsets under 2 ** 31, seq keeps within 55 bits.
+MOST_TERMS = 1 << 24
+
 
 def phrase_key(words: Column) -> Column:
     """Lower-cased tokens with single spaces between them."""
@@ -34,6 +38,8 @@ def lexicon_mentions(df: DataFrame, lexicon: dict[str, list[str]] = ontology.LEX
     """All matches of lexicon phrases, token by token and whatever the case; overlapping ones, too."""
     spark = df.sparkSession
     rows = [(label, term) for label, terms in lexicon.items() for term in terms]
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"a lexicon of more than {MOST_TERMS} terms leaves no room for offsets in seq")
     listed = spark.createDataFrame([(a, b, k) for k, (a, b) in enumerate(rows)], "label string, term string, ord int")
     listed = listed.withColumn("_t", F.transform(text.tokens(F.col("term")), lambda x: x["word"])).select("label", "ord", F.size("_t").alias("_n"), phrase_key(F.col("_t")).alias("_key"))
     longest = max([len(t.split()) + 2 * t.count("-") for _, t in rows] or [1])
@@ -51,7 +57,7 @@ def lexicon_mentions(df: DataFrame, lexicon: dict[str, list[str]] = ontology.LEX
     hits = found.join(F.broadcast(listed), (F.col("_g.key") == F.col("_key")) & (F.col("_g.n") == F.col("_n")))  # the lexicon: a fixed argument
     return hits.select(
         "id", F.col(body).substr(F.col("_g.start") + 1, F.col("_g.end") - F.col("_g.start")).alias("word"), "label", F.lit(1.0).alias("score"), F.col(body).alias("text_en"),
-        F.lit(method).alias("method"), F.col("_g.start").alias("start"), F.col("_g.end").alias("end"), (F.col("_g.start").cast("long") * 1_000 + F.col("ord")).alias("seq"),
+        F.lit(method).alias("method"), F.col("_g.start").alias("start"), F.col("_g.end").alias("end"), (F.col("_g.start").cast("long") * max(len(rows), 1) + F.col("ord")).alias("seq"),
     )
 
 
@@ -62,7 +68,7 @@ def pattern_mentions(df: DataFrame, patterns: dict[str, str] = ontology.PATTERNS
     hits = rows.select("id", body, F.explode(listed).alias("_p")).select("id", body, "_p.label", "_p.ord", F.explode("_p.found").alias("_f"))
     return hits.select(
         "id", F.col("_f.word").alias("word"), "label", F.lit(1.0).alias("score"), F.col(body).alias("text_en"), F.lit(method).alias("method"),
-        F.col("_f.start").alias("start"), F.col("_f.end").alias("end"), ((F.col("ord").cast("long") + 1) * (1 << 44) + F.col("_f.start")).alias("seq"),
+        F.col("_f.start").alias("start"), F.col("_f.end").alias("end"), (F.lit(1 << 55) + F.col("ord").cast("long") * (1 << 31) + F.col("_f.start")).alias("seq"),
     )
 
 
@@ -100,14 +106,23 @@ def word_rows(df: DataFrame, key: str, body: str) -> DataFrame:
 def gram_mentions(rows: DataFrame, lexicon: dict[str, list[str]]) -> DataFrame:
     """id, sent, p, n, word, label, ord: every run of n words that is a phrase of the lexicon.
 
-    Runs are made where the words stand and met with the lexicon by a hash join; no row is exchanged."""
+    Runs are compared with the lexicon's terms inside the row, each with those of its length; only hits become rows,
+    and get their labels by a hash join. No row is exchanged."""
     listed = ontology.terms(rows.sparkSession, lexicon)
-    longest = max([len(t.split(" ")) for terms in lexicon.values() for t in terms] or [1])
+    terms: dict[int, list[str]] = {}
+    for t in dict.fromkeys(t for own in lexicon.values() for t in own):
+        terms.setdefault(len(t.split(" ")), []).append(t)
 
     def runs(n: int) -> Column:
-        runs = F.transform("words", lambda w, i: F.struct(i.alias("p"), F.lit(n).alias("n"), F.array_join(F.slice("words", i + 1, n), " ").alias("term")))
-        return F.filter(runs, lambda x: x["p"] + n <= F.size("words"))
-
-    grams = map(runs, range(1, longest + 1))
-    found = rows.select("id", "sent", F.explode(F.flatten(F.array(*grams))).alias("g")).select("id", "sent", "g.*")
-    return found.join(F.broadcast(listed), "term").select("id", "sent", "p", "n", F.col("term").alias("word"), "label", "ord")  # the lexicon: a fixed argument
+        if n == 1:
+            found = F.transform("words", lambda w, i: F.when(w.isin(*terms[n]), F.struct(i.alias("p"), F.lit(n).alias("n"), w.alias("term"))))
+        else:  # a run is put together only where its first word starts a term
+            heads = sorted({t.split(" ")[0] for t in terms[n]})
+            run = lambda i: F.array_join(F.slice("words", i + 1, n), " ")
+            found = F.transform("words", lambda w, i: F.when(w.isin(*heads) & (i + n <= F.size("words")), F.struct(i.alias("p"), F.lit(n).alias("n"), run(i).alias("term"))))
+        return F.filter(found, lambda x: x.isNotNull() & x["term"].isin(*terms[n]))
+
+    if not terms:
+        terms[1] = [""]
+    found = rows.select("id", "sent", F.explode(F.concat(*map(runs, sorted(terms)))).alias("g")).select("id", "sent", "g.*")
+    return found.join(F.broadcast(listed), "term").select("id", "sent", "p", "n", F.col("term").alias("word"), "label", "ord")  # the lexicon: a dict that the driver holds

@@ -38,7 +38,11 @@ def lexical_relations(entities: DataFrame, triggers: DataFrame, licences: DataFr
 
     entities: id, sent, sentence, word, label, ord. Each sentence meets the triggers once, not once for each entity."""
     found = entities.groupBy("id", "sent", "sentence").agg(F.collect_list(F.struct("ord", "word", "label")).alias("_e"))
-    hit = found.join(F.broadcast(triggers.withColumnRenamed("ord", "_t")), F.contains(F.lower("sentence"), F.lower("trigger")))  # a fixed argument; each sentence is read against all triggers
+    # the triggers are a small fixed argument: each sentence is read against them in its row, and only hits become rows
+    listed = [F.struct(F.lit(t["relation"]).alias("relation"), F.lit(t["trigger"]).alias("trigger"), F.lit(t["direction"]).alias("direction"), F.lit(t["ord"]).alias("_t")) for t in triggers.collect()]
+    none = F.expr("cast(array() as array<struct<relation: string, trigger: string, direction: string, _t: int>>)")
+    hits = F.filter(F.array(*listed) if listed else none, lambda t: F.contains(F.lower("sentence"), F.lower(t["trigger"])))
+    hit = found.select("id", "sent", "sentence", "_e", F.inline(hits))
     at = F.call_function("locate", F.lower("trigger"), F.lower("sentence"))
     sides = hit.withColumn("_before", F.lower(F.col("sentence").substr(F.lit(1), at - 1))).withColumn("_after", F.lower(F.col("sentence").substr(at + F.length("trigger"), F.length("sentence"))))
     chosen = lambda side: F.filter("_e", lambda e: F.contains(F.col(side), F.lower(e["word"])))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ontology, text
+from ..runtime import written
 
 #: Other names of columns that relation tables come with.
 DIALECT = {"entity1_label": "label1", "entity2_label": "label2", "score": "relation_score", "confidence": "relation_score"}
@@ -51,12 +52,16 @@ def first_value(value: str, order: str) -> Column:
 
 
 def numbered(df: DataFrame, key: str, name: str) -> DataFrame:
-    """df with `name` 1..n in order of key: counts of sorted ranges first, so that no single task sorts all rows."""
+    """df with `name` 1..n in order of key. Rows are dealt to ranges once and written with their place in the range; the
+    ranges' counts are read off what was written, so places and counts can't come from different ranges."""
     spark = df.sparkSession
-    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), key).sortWithinPartitions(key).withColumn("_p", F.spark_partition_id())
-    ranged = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(key)))
-    before = ranged.groupBy("_p").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")
-    return ranged.join(before, "_p").withColumn(name, (F.col("_n") + F.col("_before")).cast("long")).drop("_p", "_n", "_before")
+    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), key).sortWithinPartitions(key)
+    # an id is the partition's number << 33 plus the place in it: equal ranges, in order of key
+    placed = written(ranged.withColumn("_id", F.monotonically_increasing_id()), "numbered")
+    placed = placed.withColumns({"_p": F.shiftright("_id", 33), "_n": F.col("_id").bitwiseAND((1 << 33) - 1)})
+    before = placed.groupBy("_p").count().withColumn("_before", F.coalesce(F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_p", "_before")
+    # one row for each range: no more than shuffle partitions, whatever the data
+    return placed.join(F.broadcast(before), "_p").withColumn(name, F.col("_n") + F.col("_before") + 1).drop("_p", "_n", "_before", "_id")
 
 
 def node_label(entity_type: Column, names: dict[str, str] = ontology.NODE_LABELS) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..runtime import cut
 
 
 def current(facts: DataFrame, confirmed: bool = True, active: bool = False) -> DataFrame:
@@ -78,21 +79,16 @@ def measured(facts: DataFrame, field: str, at_least: float, unit: str) -> DataFr
     return rows.where((F.lower("unit") == unit.lower()) & (F.col("number") >= at_least))
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """df cut off from its lineage: in the shared checkpoint folder if the session has one."""
-    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
-
-
 def chains(edges: DataFrame, relation: str = "LOCATED_IN", longest: int | None = None) -> DataFrame:
     """start_key, end_key, hops: the shortest chain of edges of one type between two facts, of any length, or up to
     `longest` hops. A join for each length until no new pair is met, so cycles end too."""
-    step = _cut(edges.where(F.col("type") == relation).select("start_key", "end_key").distinct())
+    step = cut(edges.where(F.col("type") == relation).select("start_key", "end_key").distinct())
     reach = new = step.withColumn("hops", F.lit(1))
     n = 1
     while longest is None or n < longest:
         n += 1
         further = new.select("start_key", F.col("end_key").alias("_m")).join(step.withColumnRenamed("start_key", "_m"), "_m").select("start_key", "end_key").distinct()
-        new = _cut(further.join(reach.select("start_key", "end_key"), ["start_key", "end_key"], "left_anti").withColumn("hops", F.lit(n)))
+        new = cut(further.join(reach.select("start_key", "end_key"), ["start_key", "end_key"], "left_anti").withColumn("hops", F.lit(n)))
         if new.isEmpty():
             break
         reach = reach.unionByName(new)

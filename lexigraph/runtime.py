@@ -1,13 +1,14 @@
-"""Getting the package to executors that can't import it by themselves."""
+"""What jobs need of the cluster: the package on every executor, and tables in the folder that all of it shares."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = Path(__file__).resolve().parent
 
@@ -26,3 +27,28 @@ def shipped(spark: SparkSession) -> None:
             out.write(path, path.relative_to(ROOT.parent))
     context.addPyFile(archive)
     context._lexigraph_shipped = True
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Only a session on one machine, as in
+    tests, may do without; it uses a local one."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = os.path.join(tempfile.gettempdir(), "lexigraph-shared")
+    return found
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df as a table in the shared folder: cuts lineage, and what it holds survives lost executors."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, for the steps of iterative operators. A checkpoint would keep the size that
+    the optimizer has estimated, which multiplies with every join until estimating takes longer than joining."""
+    return written(df, "step")
