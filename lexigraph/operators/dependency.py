@@ -121,7 +121,8 @@ def collapsed_edges(tokens: DataFrame) -> DataFrame:
 def entity_roots(tokens: DataFrame, entities: DataFrame) -> DataFrame:
     """KEY, i, word, label, ord: the head token of each entity's first occurrence; one entity for a token, the first by ord."""
     base = tokens.groupBy(*KEY).agg(F.min("start").alias("_base"))
-    at = F.call_function("locate", F.lower("word"), F.lower("sentence")) - 1
+    # the first token begins where the sentence's leading blanks end
+    at = F.call_function("locate", F.lower("word"), F.lower(F.regexp_replace("sentence", r"(?U)^\s+", ""))) - 1
     spans = entities.join(base, KEY).withColumn("_s", F.col("_base") + at).withColumn("_e", F.col("_base") + at + F.length("word")).where(at >= 0)
     inside = spans.join(tokens.select(*KEY, "i", "head", "start", "end"), KEY).where("start < _e and _s < end")
     span = Window.partitionBy(*KEY, "word", "label")

@@ -28,13 +28,25 @@ def trigrams(word):
 def fuzzy_links(mentions: DataFrame, aliases: DataFrame, threshold: float = LINK_THRESHOLD) -> DataFrame:
     """Like alias_links, by the share of common character trigrams; the table's own score is not used.
 
-    Candidates come from an equi-join on trigrams of distinct words, so no word meets aliases it shares nothing with."""
-    words = mentions.select(F.lower("word").alias("_w")).distinct()
-    left = words.select("_w", F.size(trigrams(F.col("_w"))).alias("_n"), F.explode(trigrams(F.col("_w"))).alias("_g"))
-    right = aliases.select("alias", "cui", "canonical_name", F.size(trigrams(F.col("alias"))).alias("_m"), F.explode(trigrams(F.col("alias"))).alias("_g"))
-    common = left.join(right, "_g").groupBy("_w", "alias", "cui", "canonical_name", "_n", "_m").count()
-    scored = common.withColumn("score", F.col("count") / (F.col("_n") + F.col("_m") - F.col("count")))
-    return alias_links(mentions, scored.select(F.col("_w").alias("alias"), "cui", "canonical_name", "score"), threshold)
+    Two sets of a share of t have a common trigram among the n - ceil(t * n) + 1 rarest of each, and sizes within a factor
+    of t. So distinct words meet aliases by an equi-join on rare trigrams only, and common ones make no candidates."""
+    words = mentions.select(F.lower("word").alias("_w")).distinct().withColumn("_g", trigrams(F.col("_w")))
+    named = aliases.select("alias", "cui", "canonical_name").distinct().withColumn("_h", trigrams(F.col("alias")))
+    known = named.select(F.explode("_h").alias("_t")).groupBy("_t").count()
+
+    def rarest(df: DataFrame, grams: str, keys: list[str]) -> DataFrame:
+        """df with _t: one row for each trigram of the prefix; trigrams of no alias are the rarest."""
+        rows = df.select("*", F.explode(grams).alias("_t")).join(known, "_t", "left")
+        ordered = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.coalesce("count", F.lit(0)).alias("n"), "_t"))).alias("_o"))
+        n = F.size("_o")
+        return ordered.select(*keys, F.explode(F.slice("_o", F.lit(1), (n - F.ceil(n * threshold - 1e-9) + 1).cast("int"))).alias("_x")).select(*keys, "_x._t")
+
+    left, right = rarest(words, "_g", ["_w", "_g"]), rarest(named, "_h", ["alias", "cui", "canonical_name", "_h"])
+    near = (F.size("_h") >= F.size("_g") * (threshold - 1e-9)) & (F.size("_g") >= F.size("_h") * (threshold - 1e-9))
+    pairs = left.join(right, "_t").where(near).drop("_t").dropDuplicates(["_w", "alias", "cui", "canonical_name"])
+    common = F.size(F.array_intersect("_g", "_h"))
+    scored = pairs.select(F.col("_w").alias("alias"), "cui", "canonical_name", (common / (F.size("_g") + F.size("_h") - common)).alias("score"))
+    return alias_links(mentions, scored, threshold)
 
 
 LINKERS: dict[str, Callable[..., DataFrame]] = {"alias": alias_links, "fuzzy": fuzzy_links}

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .functions import ontology, text
 from .operators import assertion, dedup, dependency, joint, linking, mentions, models, relations
 from .plans import concept_graph, fact_graph, graph_queries, metrics
+from .runtime import cut, table
 from .sources import corpora, sinks
 
 LEXICON = {
@@ -61,10 +62,6 @@ def registered(sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # ---- the frames that the queries share, in both languages -------------------------------------------
 
 def _rows(x) -> str:
@@ -200,20 +197,21 @@ def found_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linking.linked(raw_mentions(spark, sf_dir).where("method = 'gazetteer'"), aliases(spark))
 
 
-def held_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.sentence_entities(word_rows(spark, sf_dir), relations.record_entities(found_mentions(spark, sf_dir)))
+def held_entities(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
+    found = found if found is not None else found_mentions(spark, sf_dir)
+    return relations.sentence_entities(word_rows(spark, sf_dir), relations.record_entities(found))
 
 
 def licence_table(spark: SparkSession) -> DataFrame:
     return ontology.licences(spark, PAIRS)
 
 
-def lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.lexical_relations(held_entities(spark, sf_dir), ontology.triggers(spark, FORWARD, INVERTED), licence_table(spark))
+def lexical(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
+    return relations.lexical_relations(held_entities(spark, sf_dir, found), ontology.triggers(spark, FORWARD, INVERTED), licence_table(spark))
 
 
-def raw_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = lexical(spark, sf_dir).withColumns({"sent": F.col("sent").cast("long"), "t": F.col("seq._t")}).withColumn("_len", F.length("sentence"))
+def raw_relations(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
+    rows = lexical(spark, sf_dir, found).withColumns({"sent": F.col("sent").cast("long"), "t": F.col("seq._t")}).withColumn("_len", F.length("sentence"))
     made = F.array(
         F.struct(F.lit(1.0).alias("score"), F.lit("spacy_lexical").alias("method"), F.lit(0).alias("k")),
         F.when(F.col("_len") % 3 == 0, F.struct(((3 + F.col("_len") % 8) / F.lit(10.0)).alias("score"), F.lit("biolink_bert").alias("method"), F.lit(2).alias("k"))),
@@ -222,17 +220,18 @@ def raw_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("id", "sent", "t", "entity1", "entity1_label", "relation", "entity2", "entity2_label", "_m.score", "_m.method", ((F.col("sent") * 100 + F.col("t")) * 10 + F.col("_m.k")).alias("seq"))
 
 
-def best_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return relations.reconciled(raw_relations(spark, sf_dir), ["sent", "t"])
+def best_relations(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
+    return relations.reconciled(raw_relations(spark, sf_dir, found), ["sent", "t"])
 
 
-def annotated_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = found_mentions(spark, sf_dir)
-    return linking.endpoint_links(assertion.endpoint_flags(best_relations(spark, sf_dir), found), found)
+def annotated_relations(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
+    """Relations with what the mentions say of their ends; the mentions are found once and written."""
+    found = found if found is not None else cut(found_mentions(spark, sf_dir))
+    return linking.endpoint_links(assertion.endpoint_flags(best_relations(spark, sf_dir, found), found), found)
 
 
-def standard_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return concept_graph.normalised(annotated_relations(spark, sf_dir))
+def standard_relations(spark: SparkSession, sf_dir: str, found: DataFrame | None = None) -> DataFrame:
+    return concept_graph.normalised(annotated_relations(spark, sf_dir, found))
 
 
 # ---- sources and scalar functions -------------------------------------------------------------------
@@ -452,15 +451,23 @@ def concept_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found_mentions(spark, sf_dir).select("id", "word", "label", "start", "cui", "canonical_name")
 
 
+_TRIGRAMS = "list_distinct(list_transform(range(1, greatest(length('  ' || lower({0}) || ' ') - 2, 1) + 1), lambda i: substr('  ' || lower({0}) || ' ', i, 3)))"
+
+
+@registered(f"""
+    WITH words AS (SELECT w, {_TRIGRAMS.format("w")} AS g FROM (SELECT DISTINCT lower(p_name) AS w FROM part)),
+    aliases AS (SELECT 'P' || i AS cui, p_name AS canonical_name, {_TRIGRAMS.format("p_name || 's'")} AS g FROM (SELECT p_name, min(p_partkey) AS i FROM part GROUP BY p_name)),
+    common AS (SELECT w, cui, canonical_name, count(*) AS c, any_value(n) AS n, any_value(m) AS m
+        FROM (SELECT w, len(g) AS n, unnest(g) AS t FROM words) JOIN (SELECT cui, canonical_name, len(g) AS m, unnest(g) AS t FROM aliases) USING (t) GROUP BY w, cui, canonical_name),
+    scored AS (SELECT w, cui, canonical_name, c / (n + m - c) AS score FROM common WHERE c / (n + m - c) >= {linking.LINK_THRESHOLD}),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY w ORDER BY score DESC, cui) = 1)
+    SELECT p_partkey AS id, p_name AS word, 'COLOR' AS label, coalesce(cui, '') AS cui, coalesce(canonical_name, '') AS canonical_name, round_even(score, 4) AS umls_score FROM part LEFT JOIN best ON lower(p_name) = w""")
 def fuzzy_concept_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("word"), F.lit("COLOR").alias("label"))
     known = parts.groupBy("word").agg(F.min("id").alias("i")).select(F.concat("word", F.lit("s")).alias("alias"), F.concat(F.lit("P"), "i").alias("cui"), F.col("word").alias("canonical_name"), F.lit(1.0).alias("score"))
     return linking.linked(parts, known, "fuzzy")
 
 
-QUERIES["fuzzy_concept_links"] = fuzzy_concept_links
-
-
 # ---- relations --------------------------------------------------------------------------------------
 
 @registered(sql("SELECT id, word, label, ord FROM entities", WORDS, MENTIONS, ENTITIES))
@@ -551,22 +558,81 @@ def _parse(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     tokens = assertion.token_rows(mentions.word_rows(table(spark, sf_dir, "documents"), "doc_id", "text").withColumn("sent_start", F.lit(0)))
     deps = F.array(*map(F.lit, ("nsubj", "prep", "pobj", "amod", "dobj", "conj", "det")))
     rows = tokens.select("id", "sent", F.col("p").alias("i"), F.col("tok").alias("text"), F.col("tok").alias("lemma"), F.lit("X").alias("pos"), F.when(F.col("p") == 0, "ROOT").otherwise(F.element_at(deps, F.col("p") % 7 + 1)).alias("dep"), F.greatest(F.col("p") - 1, F.lit(0)).alias("head"), "start", "end")
-    return rows, held_entities(spark, sf_dir)
-
-
+    return cut(rows), cut(held_entities(spark, sf_dir))
+
+
+_PIECE, _DEPS = r"\s*(?:[\p{L}\p{N}_]+|[^\s\p{L}\p{N}_])", ("nsubj", "prep", "pobj", "amod", "dobj", "conj", "det")
+_IN = lambda xs: ", ".join(f"'{x}'" for x in xs)
+#: The made-up parse, and what the joins over it make: its chains of conjuncts and chunk dependents have one step.
+PARSE = f"""
+pieces AS (SELECT id, sent, sentence, unnest(l) AS piece, unnest(range(len(l))) AS i FROM (SELECT *, regexp_extract_all(sentence, '{_PIECE}') AS l FROM sents)),
+laid AS (SELECT *, regexp_replace(piece, '^\\s+', '') AS own, sum(length(piece)) OVER (PARTITION BY id, sent ORDER BY i) AS e FROM pieces),
+toks AS MATERIALIZED (SELECT id, sent, i, lower(own) AS tok, CASE WHEN i = 0 THEN 'ROOT' ELSE list_extract([{_IN(_DEPS)}], CAST(i % 7 + 1 AS INT)) END AS dep, greatest(i - 1, 0) AS head, CAST(e - length(own) AS BIGINT) AS s, CAST(e AS BIGINT) AS e FROM laid),
+heads AS (SELECT t.*, h.dep AS hdep, h.head AS hhead FROM toks t JOIN toks h ON h.id = t.id AND h.sent = t.sent AND h.i = t.head),
+leads AS MATERIALIZED (SELECT id, sent, i, CASE WHEN dep = 'conj' THEN head ELSE i END AS lead, CASE WHEN dep IN ({_IN(dependency.CHUNK_DEPS)}) THEN head ELSE i END AS top, tok FROM toks),
+others AS (SELECT a.id, a.sent, a.i, b.i AS other FROM leads a JOIN leads b ON a.id = b.id AND a.sent = b.sent AND a.lead = b.lead),
+tops AS (SELECT id, sent, top, string_agg(tok, ' ' ORDER BY i) AS chunk FROM leads GROUP BY ALL),
+chunks AS MATERIALIZED (SELECT l.id, l.sent, l.i, l.tok, t.chunk FROM leads l JOIN tops t USING (id, sent, top)),
+ents AS MATERIALIZED (SELECT * FROM held)
+"""
+_PATHS = f"""
+, one_way AS (
+    SELECT id, sent, i AS a, head AS b FROM toks WHERE dep NOT IN ({_IN((*dependency.SKIPPED, "prep", "conj"))})
+    UNION ALL SELECT id, sent, hhead, i FROM heads WHERE dep = 'pobj' AND hdep = 'prep'
+    UNION ALL SELECT c.id, c.sent, c.i, CASE WHEN t.dep = 'prep' THEN t.head ELSE t.i END FROM heads c JOIN toks t ON t.id = c.id AND t.sent = c.sent AND t.i = c.hhead WHERE c.dep = 'conj'),
+both_ways AS MATERIALIZED (SELECT DISTINCT * FROM (SELECT * FROM one_way WHERE a <> b UNION ALL SELECT id, sent, b, a FROM one_way WHERE a <> b)),
+spans AS (SELECT e.*, base + strpos(lower(regexp_replace(sentence, '^\\s+', '')), word) - 1 AS at FROM ents e JOIN (SELECT id, sent, min(s) AS base FROM toks GROUP BY ALL) USING (id, sent)),
+firsts AS (SELECT p.id, p.sent, p.word, p.label, p.ord, p.sentence, min(t.i) AS i FROM spans p JOIN toks t ON t.id = p.id AND t.sent = p.sent AND t.s < p.at + length(p.word) AND p.at < t.e GROUP BY ALL),
+roots AS MATERIALIZED (SELECT * FROM firsts QUALIFY row_number() OVER (PARTITION BY id, sent, i ORDER BY ord) = 1),
+paths AS (
+    SELECT id, sent, a, b, min(length) AS length FROM (
+        SELECT id, sent, a, b, 1 AS length FROM both_ways
+        UNION ALL SELECT x.id, x.sent, x.a, y.b, 2 FROM both_ways x JOIN both_ways y ON x.id = y.id AND x.sent = y.sent AND x.b = y.a AND x.a <> y.b
+            WHERE NOT EXISTS (SELECT 1 FROM roots r WHERE r.id = x.id AND r.sent = x.sent AND r.i = x.b))
+    WHERE a < b GROUP BY ALL)
+SELECT p.id, p.sent, r1.sentence, r1.word AS entity1, r1.label AS entity1_label, r2.word AS entity2, r2.label AS entity2_label, p.a AS ord1, p.b AS ord2, p.length
+FROM paths p JOIN roots r1 ON r1.id = p.id AND r1.sent = p.sent AND r1.i = p.a JOIN roots r2 ON r2.id = p.id AND r2.sent = p.sent AND r2.i = p.b
+JOIN leads l1 ON l1.id = p.id AND l1.sent = p.sent AND l1.i = p.a JOIN leads l2 ON l2.id = p.id AND l2.sent = p.sent AND l2.i = p.b
+WHERE r1.word <> r2.word AND l1.lead <> l2.lead"""
+
+
+@registered(sql(_PATHS, WORDS, MENTIONS, ENTITIES, PARSE))
 def dependency_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dependency.path_pairs(*_parse(spark, sf_dir))
 
 
+_ARGUMENTS = """(SELECT DISTINCT w.id, w.sent, w.verb, e.word, e.label FROM (SELECT DISTINCT t.id, t.sent, t.head AS verb, o.other FROM toks t JOIN others o ON o.id = t.id AND o.sent = t.sent AND o.i = t.i WHERE t.dep IN ({0})) w
+    JOIN chunks c ON c.id = w.id AND c.sent = w.sent AND c.i = w.other JOIN ents e ON e.id = w.id AND e.sent = w.sent AND (strpos(c.chunk, e.word) > 0 OR strpos(e.word, c.chunk) > 0))"""
+_RELATED = f"""
+, verb_pairs AS (
+    SELECT v.id, v.sent, v.tok AS trigger, CASE v.tok WHEN 'to' THEN 'CAUSES' ELSE 'TREATS' END AS relation, a.word AS w1, a.label AS l1, b.word AS w2, b.label AS l2
+    FROM toks v JOIN {_ARGUMENTS.format(_IN(ontology.SUBJECT_DEPS))} a ON a.id = v.id AND a.sent = v.sent AND a.verb = v.i
+    JOIN {_ARGUMENTS.format(_IN(ontology.OBJECT_DEPS))} b ON b.id = v.id AND b.sent = v.sent AND b.verb = v.i WHERE v.tok IN ('to', 'by')),
+owned AS MATERIALIZED (
+    SELECT c.id, c.sent, c.i, e.word, e.label FROM chunks c JOIN ents e ON e.id = c.id AND e.sent = c.sent
+    WHERE e.word = c.tok OR list_contains(string_split(e.word, ' '), c.tok) OR strpos(c.chunk, e.word) > 0 OR strpos(e.word, c.chunk) > 0
+    QUALIFY row_number() OVER (PARTITION BY c.id, c.sent, c.i ORDER BY (e.word <> c.tok)::INT, e.ord) = 1),
+attached AS (
+    SELECT t.id, t.sent, t.dep AS trigger, e1.word AS w1, e1.label AS l1, e2.word AS w2, e2.label AS l2 FROM toks t JOIN others o ON o.id = t.id AND o.sent = t.sent AND o.i = t.i
+    JOIN owned e1 ON e1.id = t.id AND e1.sent = t.sent AND e1.i = o.other JOIN owned e2 ON e2.id = t.id AND e2.sent = t.sent AND e2.i = t.head WHERE t.dep IN ({_IN(ontology.MODIFIER_DEPS)})
+    UNION SELECT t.id, t.sent, t.dep, e1.word, e1.label, e2.word, e2.label FROM toks t JOIN toks s ON s.id = t.id AND s.sent = t.sent AND s.head = t.head AND s.dep IN ({_IN(ontology.SUBJECT_DEPS)})
+    JOIN others o ON o.id = t.id AND o.sent = t.sent AND o.i = t.i JOIN owned e2 ON e2.id = t.id AND e2.sent = t.sent AND e2.i = o.other JOIN owned e1 ON e1.id = t.id AND e1.sent = t.sent AND e1.i = s.i
+    WHERE t.dep IN ({_IN(ontology.PREDICATE_DEPS)})),
+emitted AS (
+    SELECT id, sent, trigger, relation, w1, l1, w2, l2 FROM verb_pairs
+    UNION ALL SELECT id, sent, trigger, relation, w1, l1, w2, l2 FROM (SELECT * FROM attached UNION ALL SELECT id, sent, trigger, w2, l2, w1, l1 FROM attached) CROSS JOIN (SELECT unnest([{_IN(ontology.ATTACHMENT_RELATIONS)}]) AS relation))
+SELECT x.id, x.sent, w1 AS entity1, l1 AS entity1_label, x.relation, w2 AS entity2, l2 AS entity2_label, 1.0::DOUBLE AS score, s.sentence, '{dependency.METHOD}' AS method, trigger
+FROM emitted x JOIN (SELECT DISTINCT id, sent, sentence FROM ents) s ON s.id = x.id AND s.sent = x.sent
+WHERE w1 <> w2 AND EXISTS (SELECT 1 FROM licences l WHERE l.label1 = l1 AND l.label2 = l2 AND l.relation = x.relation)"""
+
+
+@registered(sql(_RELATED, WORDS, MENTIONS, ENTITIES, PARSE))
 def dependency_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens, entities = _parse(spark, sf_dir)
     verbs = spark.createDataFrame([("to", "CAUSES"), ("by", "TREATS")], "lemma string, relation string")
     return dependency.verb_relations(tokens, entities, verbs, licence_table(spark)).unionByName(dependency.attachment_relations(tokens, entities, licence_table(spark)))
 
 
-QUERIES |= {"dependency_pairs": dependency_pairs, "dependency_relations": dependency_relations}
-
-
 @registered(on_relations("SELECT method, count(*) AS count, 100.0 * count(*) / sum(count(*)) OVER () AS pct FROM rels GROUP BY method"))
 def relation_method_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.method_counts(raw_relations(spark, sf_dir))
@@ -628,7 +694,7 @@ nodes AS (SELECT row_number() OVER (ORDER BY key) AS entity_id, key, name, {_NOD
 
 def graph_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Standard relations with an order that is total over all records."""
-    rows = standard_relations(spark, sf_dir)
+    rows = cut(standard_relations(spark, sf_dir))
     return rows.withColumn("seq", F.struct("seq", "id"))
 
 
@@ -637,9 +703,9 @@ def _ordered_ends(relations_: DataFrame) -> DataFrame:
 
 
 @registered(on_annotated(f""", {CONCEPT_GRAPH}
-    SELECT entity_id, key, cui, count FROM nodes"""))
+    SELECT entity_id, key, name, label, entity_type, cui, count FROM nodes"""))
 def concept_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return concept_graph.nodes(_ordered_ends(graph_relations(spark, sf_dir))).select("entity_id", "key", "cui", "count")
+    return concept_graph.nodes(_ordered_ends(graph_relations(spark, sf_dir)))
 
 
 @registered(on_annotated(f""", {CONCEPT_GRAPH}
@@ -666,7 +732,7 @@ def concept_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FIELD_COLUMNS = ", ".join(f"arg_min(value, seq) FILTER (field = '{f}') AS {f}" for f in ontology.ATTRIBUTE_FIELDS)
 _RELATIVE = "CASE WHEN label = 'FAMILY_HISTORY' THEN coalesce(CASE " + " ".join(f"WHEN strpos(word, '{t}') > 0 THEN '{t}'" for t in ontology.RELATIVES) + " END, '') ELSE '' END"
 FACTS = f"""
-statused AS (SELECT *, {_OWN_STATUS} AS status FROM found),
+statused AS MATERIALIZED (SELECT *, {_OWN_STATUS} AS status FROM found),
 asserted AS (
     SELECT s.*, CASE WHEN s.label <> 'FAMILY_HISTORY' OR strpos(status, 'family') > 0 THEN status WHEN status = 'affirmed' THEN 'family' ELSE status || '+family' END AS assertion, r.resource AS own
     FROM statused s LEFT JOIN resources r ON s.label = r.label),
@@ -688,7 +754,7 @@ hosted AS (
     SELECT source_id, field, seq, CASE WHEN second THEN entity2 ELSE entity1 END AS word, CASE WHEN second THEN entity2_label ELSE entity1_label END AS label, CASE WHEN second THEN entity1 ELSE entity2 END AS value
     FROM (SELECT *, (f1 AND f2 AND entity1_label = 'LAB_VALUE') OR (NOT f1 AND f2) AS second FROM routed WHERE role = 'attribute' AND (f1 OR f2))),
 fields AS (SELECT source_id, word, label, {_FIELD_COLUMNS} FROM hosted GROUP BY ALL),
-facts AS (SELECT b.*, {", ".join(f"coalesce(f.{x}, '') AS {x}" for x in ontology.ATTRIBUTE_FIELDS)} FROM bare b LEFT JOIN fields f USING (source_id, word, label))
+facts AS MATERIALIZED (SELECT b.*, {", ".join(f"coalesce(f.{x}, '') AS {x}" for x in ontology.ATTRIBUTE_FIELDS)} FROM bare b LEFT JOIN fields f USING (source_id, word, label))
 """
 _SUBJECTS = {k: ", ".join(f"'{x}'" for x in v) for k, v in ontology.DIRECTIONS.items()}
 _SWAP = "inverse" + "".join(f" OR (type = '{k}' AND coalesce(r2.resource, '') IN ({v}) AND coalesce(r1.resource, '') NOT IN ({v}))" for k, v in _SUBJECTS.items())
@@ -705,7 +771,7 @@ emitted AS (
     UNION ALL SELECT 'HAS_CODE', key, code_key, '', source_id, 1, (source_id, CAST(seq AS VARCHAR), 0::BIGINT, 0::BIGINT) FROM facts
     UNION ALL SELECT type, start_key, end_key, assertion, source_id, 2, (source_id, s, s1, s2) FROM clin
     UNION ALL SELECT 'MENTIONS', CAST(id AS VARCHAR), key, status, CAST(id AS VARCHAR), 3, (CAST(id AS VARCHAR), CAST(seq AS VARCHAR), 0::BIGINT, 0::BIGINT) FROM coded WHERE label <> 'FAMILY_HISTORY' AND label NOT IN (SELECT label FROM resources)),
-edges AS (SELECT * FROM emitted QUALIFY row_number() OVER (PARTITION BY type, start_key, end_key ORDER BY phase, o) = 1)
+edges AS MATERIALIZED (SELECT * FROM emitted QUALIFY row_number() OVER (PARTITION BY type, start_key, end_key ORDER BY phase, o) = 1)
 """
 
 
@@ -714,14 +780,15 @@ def on_facts(body: str) -> str:
 
 
 def _fact_graph(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    found, rels, roles = found_mentions(spark, sf_dir), standard_relations(spark, sf_dir), ontology.roles(spark)
+    found, roles = cut(found_mentions(spark, sf_dir)), ontology.roles(spark)
+    rels = cut(standard_relations(spark, sf_dir, found))
     facts = fact_graph.facts(found, rels, roles)
     return {"patients": fact_graph.patients(found), "facts": facts, "concepts": fact_graph.concepts(found), "edges": fact_graph.edges(found, rels, facts, roles), "relations": rels, "roles": roles}
 
 
-@registered(on_mentions("SELECT CAST(id AS VARCHAR) AS key, coalesce(arg_min(word, seq) FILTER (label = 'AGE'), '') AS age, coalesce(arg_min(word, seq) FILTER (label = 'SEX'), '') AS sex FROM found GROUP BY id"))
+@registered(on_mentions("SELECT CAST(id AS VARCHAR) AS key, CAST(id AS VARCHAR) AS id, " + ", ".join(f"coalesce(arg_min(word, seq) FILTER (label = '{x}'), '') AS {x.lower()}" for x in ontology.DEMOGRAPHIC_LABELS) + " FROM found GROUP BY found.id"))
 def fact_patients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_graph.patients(found_mentions(spark, sf_dir)).select("key", "age", "sex")
+    return fact_graph.patients(found_mentions(spark, sf_dir))
 
 
 _FACT_COLUMNS = ["key", "resource", "word", "name", "source_id", "start", "end", "cui", "code_key", "assertion", "relative", *ontology.ATTRIBUTE_FIELDS]

@@ -40,6 +40,15 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. One that is small (under 64 MB a core) and comes in fewer files than there are cores is
+    dealt to all of them; nothing larger is ever exchanged here."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    few = 1 << 20 < size < (cores << 26) and len(df.inputFiles()) < cores
+    return df.repartition(cores) if few else df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder: cuts lineage, and what it holds survives lost executors."""
     spark = df.sparkSession
