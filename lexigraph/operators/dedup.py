@@ -39,6 +39,12 @@ def resolve_overlaps(df: DataFrame, rank: Column, seq: list[str], record: str =
     return chosen.unionByName(df.where(F.col(start).isNull() | F.col(end).isNull()))
 
 
+def longest_spans(df: DataFrame, seq: list[str], record: str = "id", start: str = "start", end: str = "end") -> DataFrame:
+    """The spans that stay when overlaps go to the longest, and of equally long ones to the first: what a tagger's span
+    filter does before spans are put on one sequence of tokens."""
+    return resolve_overlaps(df, F.lit(0), [start, *seq], record, start, end)
+
+
 def unordered_pair_dedup(df: DataFrame, keys: list[str], a: str, b: str, seq: list[str]) -> DataFrame:
     """The first row by seq for each unordered pair of values within the keys."""
     return first_per_key(df, [*keys, F.least(a, b), F.greatest(a, b)], seq)

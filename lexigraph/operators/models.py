@@ -103,9 +103,9 @@ def call_counts(answers: DataFrame) -> DataFrame:
 
 
 def batched(df: DataFrame, size: int, order: list[str], within: Column | None = None) -> DataFrame:
-    """df with batch and place: `size` rows in order make a batch. Numbers run within hash groups, so that no task
-    sorts all rows."""
-    group = within if within is not None else F.pmod(F.xxhash64(*order), F.lit(64))
+    """df with batch and place: `size` rows in order make a batch. Numbers run within hash groups, as many as the rows
+    need, so that no task sorts more than about 2 ** 16 of them."""
+    group = within if within is not None else F.pmod(F.xxhash64(*order), F.lit(max(64, df.count() >> 16)))
     w = Window.partitionBy("_g").orderBy(*order)
     return df.withColumn("_g", group).withColumn("_n", F.row_number().over(w) - 1).select(*df.columns, F.concat_ws("-", "_g", F.floor(F.col("_n") / size)).alias("batch"), (F.col("_n") % size).cast("int").alias("place"))
 

@@ -111,3 +111,16 @@ def agreement(found: DataFrame, gold: DataFrame, keys: list[str]) -> DataFrame:
     n = sides.agg(F.count_if(F.col("_f") & F.col("_g")).alias("tp"), F.count_if("_f").alias("found"), F.count_if("_g").alias("gold"))
     p, r = F.try_divide("tp", "found"), F.try_divide("tp", "gold")
     return n.select("tp", "found", "gold", p.alias("precision"), r.alias("recall"), F.try_divide(2 * p * r, p + r).alias("f1"))
+
+
+def every(mentions: DataFrame, relations: DataFrame) -> dict[str, DataFrame]:
+    """All metric tables of a run, by name."""
+    spark = mentions.sparkSession
+    labels = ontology.labels(spark)
+    return {
+        "label_distribution": label_distribution(mentions, labels), "ontology_coverage": ontology_coverage(mentions, labels), "coverage_summary": coverage_summary(mentions, labels),
+        "mention_methods": method_counts(mentions), "confidence": confidence(mentions), "mention_overlap": mention_overlap(mentions), "mentions_per_label": per_label(mentions),
+        "document_frequency": document_frequency(mentions, labels), "mention_ids": id_counts(mentions), "relation_methods": method_counts(relations), "relation_overlap": relation_overlap(relations),
+        "relations_per_method": per_relation(relations), "relation_distribution": relation_distribution(relations), "top_patterns": top_patterns(relations), "label_pairs": label_pairs(relations),
+        "entity_hubs": entity_hubs(relations), "relation_ids": id_counts(relations),
+    }

@@ -176,3 +176,22 @@ def test_stream(spark, tmp_path):
     q = stream.upserting(stream.files(spark, str(tmp_path / "in")), str(tmp_path / "cp"), lambda df, n: seen.extend(r.word for r in df.collect()))
     q.awaitTermination(60)
     assert seen == ["red"]
+
+
+def test_numbered_over_sampled_ranges(spark):
+    df = spark.range(0, 20_000, 1, 16).select(F.md5(F.col("id").cast("string")).alias("key"))
+    out = concept_graph.numbered(df, "key", "n")
+    got = [(r.n, r.key) for r in out.orderBy("n").collect()]
+    assert [n for n, _ in got] == list(range(1, 20_001)) and [k for _, k in got] == sorted(k for _, k in got)
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()  # ranges were dealt once, before
+
+
+def test_command_line(spark, tmp_path):
+    from lexigraph import __main__ as cli
+
+    spark.createDataFrame([(1, "A 54 years old male. Biopsy performed on the patient.")], "id long, text string").write.parquet(str(tmp_path / "docs"))
+    cli.main(["graph", str(tmp_path / "docs"), str(tmp_path / "run"), "--graph", "fact"])
+    cli.main(["metrics", str(tmp_path / "run"), str(tmp_path / "metrics"), "--csv"])
+    assert spark.read.parquet(str(tmp_path / "metrics" / "label_distribution")).count() == 41
+    assert (tmp_path / "metrics" / "entity_hubs.csv").exists()
+    cli.main(["sentence", "Biopsy of a 54 years old male."])

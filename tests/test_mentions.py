@@ -93,3 +93,22 @@ def test_answer_lines(spark):
     df = spark.createDataFrame([(answer,)], "answer string")
     got = [(r.word, r.label, r.score, r.start, r.end) for r in models.parsed_mentions(df, docs).orderBy("seq").collect()]
     assert got == [("mass", "SIGN_SYMPTOM", 0.9124, 6, 10), ("gone", "COLOR", 0.0, None, None)]
+
+
+def test_large_lexicon_keeps_order(spark):
+    terms = [f"t{k}" for k in range(2_000)] + ["b a", "b"]
+    df = spark.createDataFrame([(1, "b a t1999 t0 5 years")], "id long, text_en string")
+    rows = mentions.gazetteer(df, {"X": terms}).orderBy("seq").collect()
+    assert [(r.word, r.label) for r in rows] == [("b a", "X"), ("b", "X"), ("t1999", "X"), ("t0", "X"), ("5 years", "AGE"), ("5 years", "DURATION")]
+
+
+def test_longest_spans(spark):
+    df = spark.createDataFrame([(1, 0, 2, 0), (1, 1, 4, 1), (1, 3, 6, 2), (1, 7, 8, 3), (1, 7, 8, 4)], "id long, start int, end int, seq long")
+    assert sorted(r.seq for r in dedup.longest_spans(df, ["seq"]).collect()) == [1, 3]
+
+
+def test_runs_meet_the_lexicon_in_their_row(spark):
+    rows = mentions.word_rows(spark.createDataFrame([(1, "of the in. the of the")], "k long, t string"), "k", "t")
+    got = sorted((r.sent, r.p, r.n, r.word) for r in mentions.gram_mentions(rows, {"A": ["the", "of the"], "B": ["the of the"]}).collect())
+    assert got == [(0, 0, 2, "of the"), (0, 1, 1, "the"), (1, 1, 1, "the"), (1, 1, 3, "the of the"), (1, 2, 2, "of the"), (1, 3, 1, "the")]
+    assert mentions.gram_mentions(rows, {}).count() == 0

@@ -140,3 +140,46 @@ def test_joint_answers(spark):
     assert [(r.word, r.label, r.score, r.start, r.is_negated) for r in found.orderBy("seq").collect()] == [("metformin", "MEDICATION", 0.9, 0, True), ("Diabetes", "DISEASE_DISORDER", 0.0, 14, False)]
     assert [(r.entity1, r.relation, r.entity2, r.score) for r in rels.collect()] == [("Metformin", "TREATS", "diabetes", 0.8)]
     assert [r.id for r in joint.lost_records(joint.prompts(docs), answers).collect()] == [2]
+
+
+def test_cues_of_any_length(spark):
+    cues = spark.createDataFrame([("a b c d e f", "is_negated", False, 3), ("g", "is_family", True, 2)], "cue string, category string, backward boolean, scope int")
+    tokens = spark.createDataFrame([(1, 0, p, t) for p, t in enumerate("x a b c d e f y z g".split())], "id long, sent int, p int, tok string")
+    assert sorted((r.category, r.first, r.last) for r in assertion.cue_scopes(tokens, cues, []).collect()) == [("is_family", 7, 8), ("is_negated", 7, 9)]
+
+
+def test_parser_and_translator_in_the_flow(spark):
+    from lexigraph.plans import pipeline
+
+    words = [("Diabetes", "diabetes", "nsubj", 3), ("and", "and", "cc", 0), ("hypertension", "hypertension", "conj", 0), ("cause", "cause", "ROOT", 3), ("neuropathy", "neuropathy", "dobj", 3)]
+    docs = spark.createDataFrame([(1, "DIABETES I")], "id long, text string")
+    sentence = "Diabetes and hypertension cause neuropathy"
+    options = pipeline.Options(parser=lambda sents: parse(spark, words), translator=lambda: lambda texts: [sentence] * len(texts), lexicon={"DISEASE_DISORDER": ["diabetes", "hypertension", "neuropathy"]})
+    found = pipeline.full(spark, docs, options)["relations"].where("method = 'spacy_dependency'").collect()
+    assert {(r.entity1, r.relation, r.entity2) for r in found} == {("Diabetes", "CAUSES", "neuropathy"), ("hypertension", "CAUSES", "neuropathy")}
+    ents = entities_of(spark, sentence, [("Diabetes", "DISEASE_DISORDER"), ("hypertension", "DISEASE_DISORDER"), ("neuropathy", "DISEASE_DISORDER")])
+    by_syntax = pipeline.candidate_pairs(parse(spark, words), ents, options).collect()
+    assert len(by_syntax) < pipeline.candidate_pairs(None, ents, options).count() == 3
+    assert all({r.entity1, r.entity2} != {"Diabetes", "hypertension"} for r in by_syntax)
+
+
+def test_sentence_with_leading_blanks(spark):
+    tokens = parse(spark, [("CT", "ct", "ROOT", 0), ("mass", "mass", "dobj", 0)], start=2)
+    ents = entities_of(spark, "  CT mass", [("CT", "DIAGNOSTIC_PROCEDURE"), ("mass", "SIGN_SYMPTOM")])
+    assert [(r.entity1, r.entity2) for r in dependency.path_pairs(tokens, ents).collect()] == [("CT", "mass")]
+
+
+def test_fuzzy_links_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(4)
+    names = sorted({"".join(rng.choice("abc ") for _ in range(rng.randint(1, 9))).strip() or "a" for _ in range(120)})
+    grams = lambda w: {f"  {w.lower()} "[k : k + 3] for k in range(len(w) + 1)}
+    m = spark.createDataFrame([(k, w) for k, w in enumerate(names)], "id long, word string")
+    aliases = spark.createDataFrame([(w + "a", f"C{k:03d}", w, 1.0) for k, w in enumerate(names)], "alias string, cui string, canonical_name string, score double")
+    want = {}
+    for w in names:
+        scored = [(len(grams(w) & grams(a + "a")) / len(grams(w) | grams(a + "a")), f"C{k:03d}") for k, a in enumerate(names)]
+        best = min(((-s, c) for s, c in scored if s >= 0.6), default=(0, ""))
+        want[w] = best[1]
+    assert {r.word: r.cui for r in linking.linked(m, aliases, "fuzzy", 0.6).collect()} == want

@@ -50,3 +50,9 @@ def test_sentences(spark):
     df = spark.createDataFrame([(1, "One here. Two there! three\nFour"), (2, None), (3, "")], "id long, text_en string")
     got = [(r.id, r.sent, r.sent_start, r.sentence) for r in mentions.sentences(df).orderBy("id", "sent").collect()]
     assert got == [(1, 0, 0, "One here."), (1, 1, 10, "Two there! three"), (1, 2, 27, "Four")]
+
+
+def test_offsets_beyond_one_chunk(spark):
+    body = " ".join(f"w{k}" for k in range(3 * text.CHUNK + 5)) + "."
+    got = one(spark, text.tokens(F.col("b")), b=body, k=1)
+    assert len(got) == 3 * text.CHUNK + 6 and all(body[r["start"] : r["end"]] == r["word"] for r in got)
