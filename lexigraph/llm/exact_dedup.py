@@ -7,7 +7,9 @@ budget its records are partitioned into spill files by the next hash bits, and a
 through an open-addressing table that compares complete contents.
 
 Membership travels apart from content: each row remembers its run's representative (`uid`), and a join
-on uid brings the verdict back. No task ever holds a whole group of copies.
+on uid brings the verdict back. No task ever holds a whole group of copies: a bucket of one hash, however many
+copies each run has sent, streams past the one content that is held. The spill files lie in the task's own
+temporary folder and go with the task; a lost executor's task starts again from the exchange.
 
 Defined cases: null text counts as empty, and all empty texts are equal; a row without doc_id has no
 identity and gets no result row; if the smallest doc_id of a group occurs in several equal rows, exactly
@@ -21,7 +23,7 @@ import hashlib
 import os
 import shutil
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -150,14 +152,14 @@ ADDED = [
 
 
 def grace(batches: Iterator[pa.RecordBatch], solve, most: int = BUCKET_BYTES, level: int = 0) -> Iterator[pa.RecordBatch]:
-    """Buckets of records whose `_hash` agrees in ever more bits; solve() gets each bucket that fits."""
+    """Buckets of records whose `_hash` agrees in ever more bits; solve() gets each bucket that fits. A bucket of one
+    hash, which no bits can split (copies of one text, most likely), streams through solve(), whatever its size."""
     held, size, files, folder = [], 0, None, None
-    deepest = 64 // FANOUT_BITS - 1
     try:
         for batch in batches:
             held.append(batch)
             size += batch.nbytes
-            if size > most and level < deepest:
+            if size > most:
                 if files is None:
                     folder, files = tempfile.mkdtemp(prefix="grace-"), {}
                 _spill(held, files, folder, level)
@@ -168,13 +170,14 @@ def grace(batches: Iterator[pa.RecordBatch], solve, most: int = BUCKET_BYTES, le
             return
         _spill(held, files, folder, level)
         held = []
-        for sink, writer, _ in files.values():
+        for sink, writer, *_ in files.values():
             writer.close()
             sink.close()
         for k in sorted(files):
-            path = files[k][2]
+            _, _, path, low, high = files[k]
             with pa.OSFile(path, "rb") as source:
-                yield from grace(iter(pa.ipc.open_stream(source)), solve, most, level + 1)
+                stream = iter(pa.ipc.open_stream(source))
+                yield from solve(stream) if low == high else grace(stream, solve, most, level + 1)
             os.remove(path)
     finally:
         if folder:
@@ -189,31 +192,45 @@ def _spill(held: list[pa.RecordBatch], files: dict, folder: str, level: int) ->
             if k not in files:
                 path = os.path.join(folder, f"{k}.arrow")
                 sink = pa.OSFile(path, "wb")
-                files[k] = (sink, pa.ipc.new_stream(sink, batch.schema), path)
-            files[k][1].write_batch(batch.take(pa.array(np.flatnonzero(part == k))))
+                files[k] = [sink, pa.ipc.new_stream(sink, batch.schema), path, None, None]
+            at = np.flatnonzero(part == k)
+            files[k][1].write_batch(batch.take(pa.array(at)))
+            low, high = int(h[at].min()), int(h[at].max())
+            files[k][3:] = (low, high) if files[k][3] is None else (min(low, files[k][3]), max(high, files[k][4]))
 
 
 def resolver(key: str, keep_columns: list[str] | None, bucket_bytes: int = BUCKET_BYTES):
     """mapInArrow body over one level-0 partition: verdicts by uid, or the complete rows that stay."""
 
-    def solve(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def solve(held: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Holds each distinct content and, where rows are kept, the best row of each; of all other rows their ids."""
         seen, of, best, count = ContentTable(), [], [], []
-        rows = pa.Table.from_batches(held)
-        keys, uids, counts = (rows.column(c).to_pylist() for c in (key, "_uid", "_n"))
-        row = 0
-        for h, norm in zip(rows.column("_hash").to_pylist(), rows.column("_norm").to_pylist(), strict=True):
-            k = seen.find_or_add(h, norm)
-            of.append(k)
-            if k == len(best):
-                best.append(row)
-                count.append(0)
-            elif (keys[row], uids[row]) < (keys[best[k]], uids[best[k]]):
-                best[k] = row
-            count[k] += counts[row]
-            row += 1
+        keys, uids, kept = [], [], {}
+        for batch in held:
+            first = len(keys)
+            new_keys, new_uids, counts = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (key, "_uid", "_n"))
+            keys += new_keys
+            uids += new_uids
+            changed = set()
+            for row, h, norm, n in zip(range(first, len(keys)), *(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("_hash", "_norm")), counts, strict=True):
+                k = seen.find_or_add(h, norm)
+                of.append(k)
+                if k == len(best):
+                    best.append(row)
+                    count.append(0)
+                    changed.add(k)
+                elif (keys[row], uids[row]) < (keys[best[k]], uids[best[k]]):
+                    best[k] = row
+                    changed.add(k)
+                count[k] += n
+            if keep_columns is not None and changed:
+                own = sorted(changed)
+                rows = batch.select(keep_columns).take(pa.array([best[k] - first for k in own]))  # a copy: the batch can go
+                for j, k in enumerate(own):
+                    kept[k] = rows.slice(j, 1)
         if keep_columns is not None:
-            kept = rows.select(keep_columns).take(pa.array(sorted(best)))
-            yield from kept.combine_chunks().to_batches(max_chunksize=1000)
+            for at in range(0, len(best), 1000):
+                yield from pa.Table.from_batches([kept[k] for k in range(at, min(at + 1000, len(best)))]).combine_chunks().to_batches()
         else:
             yield pa.RecordBatch.from_pydict(
                 {

@@ -46,6 +46,21 @@ def test_exact_keeps_whole_rows(spark):
     assert exact_dedup.exact_groups(df.limit(0)).count() == 0
 
 
+def test_copies_of_one_text_stream_through(monkeypatch):
+    """A bucket of one hash is not split any further, and one content of it is held."""
+    import pyarrow as pa
+
+    big, sizes = b"x" * 100_000, []
+    batch = lambda k, body: pa.RecordBatch.from_pydict({"doc_id": [k], "_uid": [f"{k}"], "_n": [1], "_hash": [exact_dedup.content_hash(hashlib.sha256(body).digest())], "_norm": pa.array([body], pa.binary())})
+    rows = (batch(500 - k, big if k % 10 else b"%d" % k) for k in range(400))
+    levels = []
+    inner = exact_dedup._spill
+    monkeypatch.setattr(exact_dedup, "_spill", lambda held, files, folder, level: (levels.append(level), sizes.append(sum(b.nbytes for b in held)), inner(held, files, folder, level)))
+    out = [r for b in exact_dedup.resolver("doc_id", None, 300_000)(rows) for r in b.to_pylist()]
+    assert len(out) == 400 and max(sizes) < 500_000 and max(levels) <= 1
+    assert {(r["keep_id"], r["group_size"]) for r in out if r["group_size"] > 1} == {(101, 360)}
+
+
 def test_content_table_compares_contents():
     t = exact_dedup.ContentTable(1)
     assert [t.find_or_add(7, b) for b in (b"a", b"b", b"a", b"c", b"b")] == [0, 1, 0, 2, 1] and len(t) == 3
