@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, written
 
 #: (host, path prefix, verdict); the longest rule that fits wins.
 RULES = (
@@ -46,11 +46,12 @@ def host_and_path(url: str | None) -> tuple[str, str]:
     return (found[1].translate(UPPER), found[2]) if found else ("", "")
 
 
-def suffixes(host: str) -> Iterator[str]:
-    """The host and all domains above it."""
-    while host:
-        yield host
-        host = host.partition(".")[2]
+def suffixes(host: str, most: int) -> Iterator[str]:
+    """The host and the domains above it, as far as they have at most `most` labels: no listed host has more."""
+    labels = host.rsplit(".", most)[-most:]
+    for k in range(len(labels)):
+        if found := ".".join(labels[k:]):
+            yield found
 
 
 def digests(keys: Iterable[str], seed: int) -> np.ndarray:
@@ -133,10 +134,10 @@ def build(listed: list[str], universe: DataFrame, bound: int | None = None) -> C
     return Cascade(levels)
 
 
-def candidates(host: str, path: str, lengths: list[int]) -> list[str]:
+def candidates(host: str, path: str, lengths: list[int], most: int) -> list[str]:
     """Each key that a list may hold about this url: a host above it, or such a host with a path prefix."""
     out = []
-    for s in suffixes(host):
+    for s in suffixes(host, most):
         out.append(f"host {s}")
         out += [f"rule {s}{path[:n]}" for n in lengths if n <= len(path)]
     return out
@@ -146,27 +147,28 @@ def judged(pages: DataFrame, key: str = "page_id", url: str = "url", rules: tupl
     """key, host, path, rule, verdict for each row of pages."""
     small_batches(pages.sparkSession, 10_000)
     lengths = sorted({len(p) for _, p, _ in rules})
+    most = max([h.count(".") + 1 for h in (*(h for h, _, _ in rules), *blocked_hosts)] or [1])  # labels of the longest listed host
     verdicts = {f"rule {h}{p}": (f"{h}{p}", v) for h, p, v in rules}
     listed = [*verdicts, *(f"host {h}" for h in blocked_hosts)]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = {k for u in set(batch.column(0).to_pylist()) for k in candidates(*host_and_path(u), lengths)}
+            found = {k for u in set(batch.column(0).to_pylist()) for k in candidates(*host_and_path(u), lengths, most)}
             yield pa.RecordBatch.from_pydict({"key": pa.array(sorted(found), pa.string())})
 
-    cascade = build(listed, pages.select(url).mapInArrow(keys, "key string").distinct())
+    cascade = build(listed, written(pages.select(url).mapInArrow(keys, "key string").distinct(), "url-keys"))
 
     def verdict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [host_and_path(u) for u in batch.column(1).to_pylist()]
-            asked = [candidates(h, p, lengths) for h, p in parts]
+            asked = [candidates(h, p, lengths, most) for h, p in parts]
             flat = [k for x in asked for k in x]
             found = cascade.contains(flat)
             at, rule, out = 0, [], []
             for own in asked:
                 hits = [k for k, yes in zip(own, found[at : at + len(own)], strict=True) if yes]
                 at += len(own)
-                fits = [verdicts[k] for k in hits if k in verdicts]
+                fits = [verdicts[k] for k in hits if k.startswith("rule ")]  # the cascade says which rules; here is what they say
                 best = max(fits, key=lambda x: len(x[0]), default=None)
                 rule.append(best and best[0])
                 out.append(best[1] if best else "block" if hits else "allow")
