@@ -31,6 +31,8 @@ from .common import LOWER, identified, in_blocks, small_batches, text_bytes, wor
 DIMENSIONS = 4096
 CLUSTERS = 3
 SAMPLE = 300
+#: Labelled rows that the model is fitted on in all languages together, where that leaves LEAST for each.
+FITTED, LEAST = 12_000, 20
 #: A text is rejected below this share of the smallest cosine that 99.5 % of the sample's texts or pieces of its size reach.
 REJECT = 0.35
 #: Different n-grams from which a text is judged by distance.
@@ -158,8 +160,13 @@ def learned(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     """A model from a bounded sample of the labelled rows that are not held out; None without such rows."""
     small_batches(df.sparkSession)
     usable = identified(df, text, lang, key=key).where(F.col(lang).isNotNull() & F.col(text).isNotNull() & ~held_out(key))
+    found = {r[0]: r[1] for r in usable.groupBy(lang).count().collect()}
+    sample = min(sample, max(LEAST, FITTED // max(1, len(found))))
+    # the rows of least hash: about four times the sample pass the bound of their language, however many there are
+    bounds = [F.lit(x) for name, n in found.items() for x in (name, min(2.0**63, -(2.0**63) + 2.0**64 * 4 * sample / n))]
+    low = usable.where(F.xxhash64(key).cast("double") <= F.try_element_at(F.create_map(*bounds), F.col(lang))) if found else usable
     order = Window.partitionBy(lang).orderBy(F.xxhash64(key), key)
-    ids = [r[0] for r in usable.select(key, lang).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample).select(key).collect()]
+    ids = [r[0] for r in low.select(key, lang).withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= sample).select(key).collect()]
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in in_blocks(batches, 1 << 20, text):
