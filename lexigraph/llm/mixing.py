@@ -32,6 +32,8 @@ REPETITION_LIMIT = 1.5
 SEED = 20
 #: What reaches the driver is one row for each source; more sources than this are refused.
 MOST_SOURCES = 10_000
+#: Bits of a block's place that its bin leaves out: a source has at most 2 ** (64 - COARSE) bins.
+COARSE = 50
 
 
 def entropy(weights: list[float]) -> float:
@@ -127,10 +129,9 @@ def planned(df: DataFrame, text: str = "text", source: str = "source", key: str
         for r, w, x in zip(totals, weights, often, strict=True)
     ]
     placed = _placed(rows, shares, "doc_id", seed).where("_rest > 0")
-    below = Window.partitionBy("_source").orderBy("_block_order")
-    blocks = placed.groupBy("_source", "_block_order", "_rest").agg(F.sum("n_tokens").alias("n")).withColumn("upto", F.sum("n").over(below))
-    last = blocks.where("upto >= _rest").groupBy("_source").agg(F.min(F.struct("upto", "_block_order", "n")).alias("b"))
-    last = {r._source: (r.b._block_order, r.b.upto - r.b.n) for r in last.collect()}
+    bins = crossed(placed.withColumn("_bin", F.shiftright("_block_order", COARSE)), "_bin", {})  # at most 2 ** (64 - COARSE) a source
+    inner = placed.where(F.shiftright("_block_order", COARSE) == _of_source({s: b for s, (b, _) in bins.items()})) if bins else placed
+    last = crossed(inner, "_block_order", {s: n for s, (_, n) in bins.items()})
     shares = [Share(*_fields(s)[:6], *((last[s.source][0], None, None) if s.source in last else (None, None, None))) for s in shares]
     inside = _placed(rows, shares, "doc_id", seed).where("_block_order = _last_block")
     before = F.create_map(*[x for s, (_, n) in last.items() for x in (F.lit(s), F.lit(n))]) if last else None
@@ -142,6 +143,20 @@ def planned(df: DataFrame, text: str = "text", source: str = "source", key: str
     return shares
 
 
+def _of_source(values: dict[str, int]) -> Column:
+    return F.try_element_at(F.create_map(*[x for s, v in values.items() for x in (F.lit(s), F.lit(v).cast("long"))]), F.col("_source"))
+
+
+def crossed(placed: DataFrame, unit: str, before: dict[str, int]) -> dict[str, tuple[int, int]]:
+    """For each source, the first unit (in order) up to which at least `_rest` tokens lie, and the tokens before it;
+    `before`: tokens that lie before all of placed's units."""
+    start = F.coalesce(_of_source(before), F.lit(0)) if before else F.lit(0)
+    units = placed.groupBy("_source", unit, "_rest").agg(F.sum("n_tokens").alias("n"))
+    upto = units.withColumn("upto", F.sum("n").over(Window.partitionBy("_source").orderBy(unit)) + start)
+    first = upto.where("upto >= _rest").groupBy("_source").agg(F.min(F.struct("upto", unit, "n")).alias("b"))
+    return {r._source: (r.b[unit], r.b.upto - r.b.n) for r in first.collect()}
+
+
 def _fields(s: Share) -> tuple:
     return (s.source, s.tokens, s.blocks, s.weight, s.passes, s.rest, s.block, s.doc, s.doc_id)
 
