@@ -18,7 +18,9 @@ doc_id get no row; repeated rows each get a row; an empty table gives an empty r
 
 from __future__ import annotations
 
+import hashlib
 import json
+import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -223,7 +225,7 @@ class Encoder:
         return [text[a : b - 1] if b > a else b"" for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-_encoders: dict[int, Encoder] = {}
+_encoders: dict[str, Encoder] = {}
 
 
 def _encoder(shared) -> Encoder:
@@ -238,7 +240,7 @@ class _Shared:
 
     def __init__(self, spark, vocabulary: Vocabulary):
         self.held = spark.sparkContext.broadcast(vocabulary)
-        self.id = hash((vocabulary.suffix, len(vocabulary.tokens), tuple(vocabulary.merges[::97])))
+        self.id = hashlib.sha256(pickle.dumps(vocabulary)).hexdigest()  # of the whole vocabulary
 
     @property
     def value(self) -> Vocabulary:
@@ -287,6 +289,7 @@ def token_lists(df: DataFrame, path: str, text: str = "text", key: str = "doc_id
 def decoded(df: DataFrame, path: str, ids: str = "ids", key: str = "doc_id") -> DataFrame:
     """key and text for rows of key and ids (binary, as `encoded` returns them); null ids decode to ''."""
     spark = df.sparkSession
+    small_batches(spark)
     shared = _Shared(spark, Vocabulary.load(path))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,9 +6,6 @@ batch of documents costs a fixed number of numpy passes instead of Python work f
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..runtime import cut, shared_dir, table, written  # noqa: F401  the operators take them from here
+
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -25,34 +24,6 @@ LOWER[65:91] += 32
 WORD_BASE = 0x9E3779B97F4A7C15
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a local one only where none is set (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = os.path.join(tempfile.gettempdir(), "lexigraph-shared")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: cuts lineage, and what it holds survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder, for the steps of iterative operators. A checkpoint would keep the size that
-    the optimizer has estimated, which multiplies with every join until estimating takes longer than joining."""
-    return written(df, "step")
-
-
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of at most this many rows, so that long texts don't fill a Python worker."""
     for key in ("spark.sql.execution.arrow.maxRecordsPerBatch",):

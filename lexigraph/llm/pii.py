@@ -18,14 +18,16 @@ each get a row; offsets are code points, end exclusive.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import identified, small_batches
+from .common import identified, in_blocks, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -299,6 +301,14 @@ def added_spans(texts: list[str], base: list[list[Span]], crf: Crf) -> list[list
                     owner.append((d, held[k:end]))
                     k = end
             start += len(line) + 1
+    # of each text's base spans: starts in order, and the largest end up to each
+    starts = [sorted(x for x, _, _ in own) for own in base]
+    ends = [list(accumulate((y for _, _, y in sorted(own)), max)) for own in base]
+
+    def touches(d: int, a: int, b: int) -> bool:
+        before = bisect_left(starts[d], b)
+        return before > 0 and ends[d][before - 1] > a
+
     out: list[list[Span]] = [[] for _ in texts]
     for group in _by_length(runs):
         for k, path in zip(group, crf.viterbi([runs[i] for i in group]), strict=True):
@@ -312,7 +322,7 @@ def added_spans(texts: list[str], base: list[list[Span]], crf: Crf) -> list[list
                     a = held[t][1] + len(held[t][0]) - len(held[t][0].lstrip(TRIM))
                     b = held[end - 1][1] + len(held[end - 1][0].rstrip(TRIM))
                     card = "".join(c for c in texts[d][a:b] if "0" <= c <= "9") if path[t] == 3 else None
-                    if a < b and (card is None or luhn(card)) and not any(a < y and x < b for x, _, y in base[d]):
+                    if a < b and (card is None or luhn(card)) and not touches(d, a, b):
                         out[d].append((a, int(path[t]) - 1, b))
                 t = end
     return out
@@ -337,7 +347,7 @@ def found(df: DataFrame, crf: Crf | None = None, text: str = "text", key: str =
     shared = spark.sparkContext.broadcast(crf or trained())  # a few thousand floats
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in in_blocks(batches, 1 << 21, text):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             base = [base_spans(t) for t in texts]
             more = added_spans(texts, base, shared.value)

@@ -97,8 +97,11 @@ def splitters(rows: DataFrame, shares: list[float], tolerance: float) -> tuple[l
         )
         first = False
         finer: dict[Interval, list[int]] = {}
+        of: dict[int, list] = {}
+        for r in sorted(counted, key=lambda r: r.b):
+            of.setdefault(r.i, []).append(r)
         for k, interval in enumerate(asked):
-            bins = sorted((r for r in counted if r.i == k), key=lambda r: r.b)
+            bins = of.get(k, [])
             below = [interval.below]
             for r in bins:
                 below.append(below[-1] + r.bytes)

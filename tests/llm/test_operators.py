@@ -7,10 +7,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from lexigraph.llm import bpe, language_id, mixing, pii, quality, sharding, url_filter
+from lexigraph.llm.common import text_bytes
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -285,3 +287,64 @@ def test_exponent():
     e = mixing.bisected(shares, 1.0, None, None)
     assert math.isclose(mixing.entropy(mixing.tempered(shares, e)), 1.0, rel_tol=1e-6)
     assert mixing.bisected(shares, 2.0, None, None) == 0.0 and mixing.bisected([0.5, 0.5], None, 1.0, None) == 0.0
+
+
+def test_boundary_in_two_levels(spark):
+    rng = random.Random(12)
+    rows = [(k, " ".join("w" for _ in range(rng.randint(0, 30))), "en", "big" if k % 4 else "small") for k in range(1500)]
+    shares = mixing.planned(docs(spark, rows), block_tokens=50)
+    placed = mixing._placed(docs(spark, rows).select("doc_id", mixing.source_key(F.col("source")).alias("_source"), mixing.word_count(F.col("text")).alias("n_tokens")), shares, "doc_id", mixing.SEED).collect()
+    for s in (s for s in shares if s.rest):
+        blocks = Counter()
+        for r in placed:
+            if r._source == s.source:
+                blocks[r._block_order] += r.n_tokens
+        upto, want = 0, None
+        for order in sorted(blocks):
+            upto += blocks[order]
+            if upto >= s.rest:
+                want = order
+                break
+        assert s.block == want
+
+
+# ---- bounds -----------------------------------------------------------------------------------------
+
+def test_centroids_equal_brute_force(spark):
+    rng = random.Random(3)
+    rows = [(k, " ".join("".join(rng.choice("abcdefgh" if k % 2 else "klmnop") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(5, 40))), "xx" if k % 2 else "yy", "s") for k in range(80)]
+    model = language_id.learned(docs(spark, rows))
+    tf = language_id.counts(*text_bytes(pa.array([t for _, t, _, _ in rows])))
+    for (_, t, _, _), row in zip(rows[:20], tf, strict=False):  # pairs and triples with a letter
+        assert row.sum() == sum(any(c != " " for c in t[k : k + n]) for n in (2, 3) for k in range(len(t) - n + 1))
+    got, score = model.predict(tf)
+    for k, row in enumerate(tf.tolist()):
+        v = [math.log1p(x) * float(i) for x, i in zip(row, model.idf, strict=True)]
+        norm = math.sqrt(sum(x * x for x in v))
+        cosines = [sum(a * float(b) for a, b in zip(v, c, strict=True) if a) / norm for c in model.centroids]
+        best = max(range(len(cosines)), key=lambda j: (cosines[j], -j))
+        assert got[k] == model.languages[best] and abs(score[k] - cosines[best]) < 1e-4
+
+
+def test_sample_takes_the_least_hashes(spark, monkeypatch):
+    rows = [(k, f"text {k}", "xx" if k % 3 else "yy", "s") for k in range(3000)]
+    taken = []
+    monkeypatch.setattr(language_id, "fit", lambda tf, langs, heads: taken.append(Counter(langs)))
+    language_id.learned(docs(spark, rows), sample=40)
+    assert taken == [Counter(xx=40, yy=40)]
+
+
+def test_spans_that_touch_base_spans():
+    text = "call 4111 1111 1111 1111 or a@b.cc, 10.0.0.1 " * 50
+    base = pii.base_spans(text)
+    more = pii.added_spans([text], [base], pii.trained())[0]
+    assert all(not (a < y and x < b) for a, _, b in more for x, _, y in base)
+
+
+def test_long_hosts_and_large_lists(spark):
+    assert list(url_filter.suffixes("a." * 100_000 + "net", 2)) == ["a.net", "net"]
+    assert list(url_filter.suffixes("a..b", 9)) == ["a..b", ".b", "b"] and list(url_filter.suffixes("com.", 3)) == ["com."] and list(url_filter.suffixes("", 3)) == []
+    hosts = tuple(f"h{k}.example.org" for k in range(100_000))
+    urls = [(0, "http://" + "a." * 100_000 + "h5.example.org/x"), (1, "http://h99999.example.org"), (2, "http://h100000.example.org"), (3, "http://net/de/1"), (4, None)]
+    pages = spark.createDataFrame(urls, "page_id long, url string")
+    assert {r.page_id: (r.rule, r.verdict) for r in url_filter.judged(pages, blocked_hosts=hosts).collect()} == {0: (None, "block"), 1: (None, "block"), 2: (None, "allow"), 3: ("net/de/", "allow"), 4: (None, "allow")}
