@@ -3,16 +3,22 @@
 Every byte covered by a LENGTH-byte string that also starts in a document with a smaller doc_id is removed.
 
 Texts are dealt to parts of about PART_BYTES by a hash of their id, in one exchange that all passes read.
-1. Each part finds its strings' content keys (see anchors) and sends each distinct key once, packed.
+1. Each part finds its strings' content keys (see anchors) and sends each distinct key once, packed, with the
+   number of its documents that have it.
 2. Each key bucket answers which keys occur in two documents or more; all other strings are unrepeated.
 3. Each part sends the segments that have such keys, equal segments once, to the bucket of their key. A
-   segment that a smaller document of the part has too is settled there.
-4. Each bucket takes its segments in order of doc_id, in batches. A batch gets a suffix array (its LENGTH-byte
-   strings in sorted order, with their smallest document), is merge-scanned against every level of the index
-   family, and enters it as a new level; levels of equal size merge, so there are logarithmically many.
+   segment that a smaller document of the part has too is settled there. Keys of over `hot` documents would
+   fill one bucket (the edges of a widely shared passage differ in every document): their segments fall into
+   single strings, which are dealt by the string.
+4. Each bucket takes its segments in order of doc_id, in batches. A batch gets a suffix array (the places of
+   its LENGTH-byte strings in sorted order, with their smallest document), is merge-scanned against every
+   level of the index family, and enters it as a new level; levels of equal size merge, so there are
+   logarithmically many.
 5. Each part joins the removed spans of its texts and cuts them out.
 
 A passage that a third of all documents share sends one segment for each part, not for each document.
+Messages between n parts and n buckets go in hops: one message for each of RADIX ranges of destinations, split
+further by tasks that gather RADIX senders of one range. That is RADIX messages a part and hop, not n a part.
 Comparison is on complete strings; hashes only deal them out and rule strings out.
 
 Defined cases: null text counts as empty; a text shorter than LENGTH bytes loses nothing; rows without
@@ -22,6 +28,7 @@ doc_id get no row; rows with the same doc_id are not smaller than each other; an
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +45,12 @@ PART_BYTES = 8 << 20
 BLOCK_BYTES = 1 << 20
 #: Strings that a batch of the index family holds, at least.
 BATCH = 1 << 17
+#: Strings of a level that a scan or merge holds at once.
+STEP = 1 << 16
+#: Ranges of destinations that a task sends messages to.
+RADIX = 128
+#: Documents beyond which a key's segments are dealt string by string.
+HOT = 1 << 14
 NOWHERE = np.iinfo(np.int64).max
 
 
@@ -89,51 +102,108 @@ def _keyed(data: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.
         yield key >> np.uint64(16), row + a, first - base, last - base
 
 
-def _keys_of_part(buckets: int):
+# ---- messages: rows of integer columns, the first of them the destination ------------------------------
+
+MESSAGE = "at long, via long, payload binary"
+#: For each column of a message: None, or the column that holds the lengths of its lists.
+KEYS = (None, None, None, None)  # bucket, part, key, documents
+SHARED = (None, None, None)  # part, key, hot
+SEGMENTS = (None, None, None, None, 3, 3, None, 6)  # bucket, part, doc, number of places, rows, places, size, bytes
+SPANS = (None, None, None, None)  # part, row, start, end
+
+
+def _joined(table: pa.Table, columns: int) -> list[np.ndarray]:
+    sent = [_unpack(x) for x in table.column("payload").to_pylist()]
+    return [np.concatenate(x) for x in zip(*sent, strict=True)] if sent else [np.zeros(0, np.int64)] * columns
+
+
+def _taken(arrays: list[np.ndarray], lists: tuple, order: np.ndarray) -> list[np.ndarray]:
+    """The rows of `order`, with their lists."""
+    out = []
+    for a, by in zip(arrays, lists, strict=True):
+        if by is None:
+            out.append(a[order])
+        else:
+            n = arrays[by].astype(np.int64)
+            m = n[order]
+            out.append(a[np.repeat((np.cumsum(n) - n)[order] - (np.cumsum(m) - m), m) + np.arange(int(m.sum()))])
+    return out
+
+
+def _messages(arrays: list[np.ndarray], lists: tuple, width: int, via: int) -> pa.Table:
+    """One message for each range of `width` destinations that rows go to."""
+    at = arrays[0].astype(np.int64) // width
+    order = np.argsort(at, kind="stable")
+    arrays, at = _taken(arrays, lists, order), at[order]
+    cuts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1], [True]])) if len(at) else np.zeros(1, np.int64)
+    ends = [None if by is None else np.concatenate([[0], np.cumsum(arrays[by], dtype=np.int64)]) for by in lists]
+    out = [_pack(*(a[i:j] if e is None else a[e[i] : e[j]] for a, e in zip(arrays, ends, strict=True))) for i, j in zip(cuts, cuts[1:], strict=False)]
+    return pa.table({"at": pa.array(at[cuts[:-1]], pa.int64()), "via": pa.array([via] * len(out), pa.int64()), "payload": pa.array(out, pa.binary())})
+
+
+def _first_width(n: int, radix: int) -> int:
+    width = 1
+    while width * radix < n:
+        width *= radix
+    return width
+
+
+def _routed(sent: DataFrame, lists: tuple, n: int, radix: int) -> DataFrame:
+    """Messages to ranges of destinations as messages to single ones (`at`), `radix` at most to each."""
+
+    def hop(width: int):
+        def split(messages: pa.Table) -> pa.Table:
+            return _messages(_joined(messages, len(lists)), lists, width, messages.column("via")[0].as_py() // radix)
+
+        return split
+
+    width = _first_width(n, radix)
+    while width > 1:
+        width //= radix
+        sent = sent.groupBy("at", "via").applyInArrow(hop(width), MESSAGE)
+    return sent
+
+
+# ---- passes ---------------------------------------------------------------------------------------------
+
+def _keys_of_part(n: int, radix: int):
     def keys(part: pa.Table) -> pa.Table:
         ids, data, ends = _ordered(part)
         doc = np.unique(np.array(ids, np.int64), return_inverse=True)[1].astype(np.int64)
         key, of = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for k, row, _, _ in _keyed(data, ends):
-            order = np.lexsort((doc[row], k))
-            k, d = k[order], doc[row][order]
-            new = np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])]) if len(k) else np.zeros(0, bool)
-            key.append(k[new])
-            of.append(d[new])
-        key, of = np.concatenate(key), np.concatenate(of)
-        order = np.lexsort((of, key))
-        key, of = key[order], of[order]
-        head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        tail = np.concatenate([head[1:], [len(key)]]).astype(np.int64) - 1
-        several = of[head] != of[tail] if len(head) else np.zeros(0, bool)
-        key = key[head]
-        bucket = (key % np.uint64(buckets)).astype(np.int64)
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        out = [(int(b), _pack(key[order[i:j]] // np.uint64(buckets), np.packbits(several[order[i:j]]))) for b, (i, j) in enumerate(zip(cuts, cuts[1:], strict=False)) if j > i]
+            k, d = _distinct(k, doc[row])
+            key.append(k)
+            of.append(d)
+        key, _ = _distinct(np.concatenate(key), np.concatenate(of))
+        key, documents = np.unique(key, return_counts=True)
         me = part.column("part")[0].as_py()
-        return pa.table({"bucket": pa.array([b for b, _ in out], pa.int64()), "part": pa.array([me] * len(out), pa.int64()), "payload": pa.array([x for _, x in out], pa.binary())})
+        bucket = (key % np.uint64(n)).astype(np.int32)
+        return _messages([bucket, np.full(len(key), me, np.int32), key // np.uint64(n), documents.astype(np.int32)], KEYS, _first_width(n, radix), me // radix)
 
     return keys
 
 
-def _shared_keys(bucket: pa.Table) -> pa.Table:
+def _distinct(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.lexsort((doc, key))
+    key, doc = key[order], doc[order]
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])]) if len(key) else np.zeros(0, bool)
+    return key[new], doc[new]
+
+
+def _shared_keys(n: int, radix: int, hot: int):
     """Which of its keys each part shares with another document."""
-    parts, sent = bucket.column("part").to_pylist(), [_unpack(x) for x in bucket.column("payload").to_pylist()]
-    key = np.concatenate([k for k, _ in sent])
-    several = np.concatenate([np.unpackbits(f, count=len(k)).astype(bool) for k, f in sent])
-    value, back, count = np.unique(key, return_inverse=True, return_counts=True)
-    shared = count > 1
-    shared[back[several]] = True
-    at, out_part, out = 0, [], []
-    me = bucket.column("bucket")[0].as_py()
-    for part, (k, _) in zip(parts, sent, strict=True):
-        own = k[shared[back[at : at + len(k)]]]
-        at += len(k)
-        if len(own):
-            out_part.append(part)
-            out.append(_pack(own))
-    return pa.table({"part": pa.array(out_part, pa.int64()), "bucket": pa.array([me] * len(out), pa.int64()), "payload": pa.array(out, pa.binary())})
+
+    def answer(messages: pa.Table) -> pa.Table:
+        to, part, key, documents = _joined(messages, len(KEYS))
+        value, back = np.unique(key, return_inverse=True)
+        total = np.zeros(len(value), np.int64)
+        np.add.at(total, back, documents)
+        total = total[back]
+        own = np.flatnonzero(total > 1)
+        return _messages([part[own], key[own] * np.uint64(n) + to[own].astype(np.uint64), (total[own] > hot).astype(np.uint8)], SHARED, _first_width(n, radix), int(to[0]) // radix)
+
+    return answer
 
 
 class Spans:
@@ -150,92 +220,113 @@ class Spans:
             self.start.append(start)
             self.end.append(end)
 
-    def packed(self) -> bytes:
-        return _pack(np.array(self.row, np.int32), np.array(self.start, np.int32), np.array(self.end, np.int32))
 
+def _segments_of_part(n: int, radix: int):
+    """A row without bytes is a span that the part has settled; its `doc` is the span's end."""
 
-def _segments_of_part(buckets: int):
     def send(part: pa.Table, shared: pa.Table) -> pa.Table:
-        rows: dict[int, list[bytes]] = {}
+        own_to, own_doc, own_body, places, local, me = [], [], [], [], Spans(), 0
         if part.num_rows and shared.num_rows:
             me = part.column("part")[0].as_py()
             ids, data, ends = _ordered(part)
-            known = np.sort(np.concatenate([_unpack(x)[0] * np.uint64(buckets) + np.uint64(b) for b, x in zip(shared.column("bucket").to_pylist(), shared.column("payload").to_pylist(), strict=True)]))
+            _, known, hot = _joined(shared, len(SHARED))
+            order = np.argsort(known)
+            known, hot = known[order], hot[order]
             raw = data.tobytes()
             seen: dict[bytes, tuple[int, int]] = {}  # segment: id of its first document, its number
-            own_key, own_row, own_body, places, local = [], [], [], [], Spans()
+
+            def put(to: int, r: int, p: int, body: bytes) -> None:
+                found = seen.get(body)
+                if found is None:
+                    seen[body] = (ids[r], len(own_to))
+                    own_to.append(to)
+                    own_doc.append(ids[r])
+                    own_body.append(body)
+                    places.append([(r, p)])
+                elif found[0] < ids[r]:
+                    local.add(r, p, p + len(body))
+                else:
+                    places[found[1]].append((r, p))
+
             for key, row, first, last in _keyed(data, ends):
                 at = np.searchsorted(known, key)
                 at[at == len(known)] = 0
                 hit = np.flatnonzero(known[at] == key)
-                start = ends[row[hit]] + first[hit]
-                for k, r, p, a, b in zip(key[hit].tolist(), row[hit].tolist(), first[hit].tolist(), start.tolist(), (start + last[hit] - first[hit] + LENGTH).tolist(), strict=True):
-                    body = raw[a:b]
-                    found = seen.get(body)
-                    if found is None:
-                        seen[body] = (ids[r], len(own_key))
-                        own_key.append(k)
-                        own_row.append(r)
-                        own_body.append(body)
-                        places.append([(r, p)])
-                    elif found[0] < ids[r]:
-                        local.add(r, p, p + b - a)
+                to = (key[hit] % np.uint64(n)).astype(np.int64)
+                for t, r, p, size, split in zip(to.tolist(), row[hit].tolist(), first[hit].tolist(), (last[hit] - first[hit] + LENGTH).tolist(), hot[at[hit]].tolist(), strict=True):
+                    a = int(ends[r]) + p
+                    if split:
+                        for k in range(size - LENGTH + 1):
+                            body = raw[a + k : a + k + LENGTH]
+                            put(zlib.crc32(body) % n, r, p + k, body)
                     else:
-                        places[found[1]].append((r, p))
-            bucket = np.array(own_key, np.uint64) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            for b in range(buckets):
-                own = order[cuts[b] : cuts[b + 1]].tolist()
-                if own:
-                    flat = [x for k in own for x in places[k]]
-                    rows.setdefault(b, []).append(
-                        _pack(
-                            np.array([ids[own_row[k]] for k in own], np.int64), np.array([len(places[k]) for k in own], np.int32), np.array([r for r, _ in flat], np.int32),
-                            np.array([p for _, p in flat], np.int32), np.array([len(own_body[k]) for k in own], np.int32), np.frombuffer(b"".join(own_body[k] for k in own), np.uint8),
-                        )
-                    )
-            if local.row:
-                rows.setdefault(me % buckets, []).append(local.packed())
-        out = [(b, x) for b, xs in rows.items() for x in xs]
-        return pa.table({"bucket": pa.array([b for b, _ in out], pa.int64()), "part": pa.array([me] * len(out) if out else [], pa.int64()), "payload": pa.array([x for _, x in out], pa.binary())})
+                        put(t, r, p, raw[a : a + size])
+        k, flat = len(local.row), [x for own in places for x in own]
+        arrays = [
+            np.array(own_to + [me] * k, np.int32),
+            np.full(len(own_to) + k, me, np.int32),
+            np.array(own_doc + local.end, np.int64),
+            np.array([len(own) for own in places] + [1] * k, np.int32),
+            np.array([r for r, _ in flat] + local.row, np.int32),
+            np.array([p for _, p in flat] + local.start, np.int32),
+            np.array([len(body) for body in own_body] + [0] * k, np.int32),
+            np.frombuffer(b"".join(own_body), np.uint8),
+        ]
+        return _messages(arrays, SEGMENTS, _first_width(n, radix), me // radix)
 
     return send
 
 
 class Level:
-    """A suffix array cut at LENGTH bytes: distinct strings in order, each with its smallest document."""
+    """A suffix array cut at LENGTH bytes: the places in `text` of distinct strings, in order of the strings, each
+    with its smallest document."""
 
-    def __init__(self, strings: np.ndarray, doc: np.ndarray):
-        self.strings, self.doc = strings, doc
+    def __init__(self, text: np.ndarray, place: np.ndarray, doc: np.ndarray):
+        self.text, self.place, self.doc = text, place.astype(np.int32 if len(text) < 1 << 31 else np.int64, copy=False), doc
 
     @classmethod
-    def of(cls, strings: np.ndarray, doc: np.ndarray) -> tuple[Level, np.ndarray]:
-        """The level of strings in any order whose documents ascend (of equal strings the first has the smallest),
-        and each string's place in it."""
+    def of(cls, text: np.ndarray, place: np.ndarray, doc: np.ndarray) -> tuple[Level, np.ndarray]:
+        """The level of the strings at some places whose documents ascend (of equal strings the first has the
+        smallest), and each one's number in it."""
+        strings = _strings(text, place)
         order = np.argsort(strings, kind="stable")
         strings = strings[order]
         new = np.concatenate([[True], strings[1:] != strings[:-1]]) if len(strings) else np.zeros(0, bool)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.cumsum(new) - 1
-        return cls(strings[new], doc[order][new]), place
+        number = np.empty(len(order), np.int64)
+        number[order] = np.cumsum(new) - 1
+        return cls(text, place[order][new], doc[order][new]), number
 
     def __len__(self) -> int:
-        return len(self.strings)
-
-    def scan(self, strings: np.ndarray) -> np.ndarray:
-        """For each of some strings in order, its smallest document here, or the largest integer."""
-        out = np.full(len(strings), NOWHERE)
-        at = np.searchsorted(self.strings, strings)
-        at[at == len(self)] = 0
-        hit = self.strings[at] == strings
-        out[hit] = self.doc[at[hit]]
-        return out
+        return len(self.place)
+
+    def strings(self, first: int = 0, last: int | None = None) -> np.ndarray:
+        return _strings(self.text, self.place[first:last])
+
+    def kept(self, which: np.ndarray) -> Level:
+        return Level(self.text, self.place[which], self.doc[which])
+
+    def scan(self, strings: np.ndarray, low: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """(place in this level, whether it stands there) of each of some strings in order, from `low` on: a merge
+        scan, both sides moving on block by block."""
+        at, same, done = np.full(len(strings), len(self), np.int64), np.zeros(len(strings), bool), 0
+        while low < len(self) and done < len(strings):
+            block = self.strings(low, low + STEP)
+            to = done + int(np.searchsorted(strings[done:], block[-1], "right"))
+            k = np.searchsorted(block, strings[done:to])
+            at[done:to] = low + k
+            same[done:to] = block[k] == strings[done:to]
+            low, done = low + STEP, to
+        return at, same
 
     def merged(self, other: Level) -> Level:
         """Both levels as one; they have no string in common."""
-        at = np.searchsorted(self.strings, other.strings)
-        return Level(np.insert(self.strings, at, other.strings), np.insert(self.doc, at, other.doc))
+        at, low = [np.zeros(0, np.int64)], 0
+        for a in range(0, len(other), STEP):
+            at.append(self.scan(other.strings(a, a + STEP), low)[0])
+            low = int(at[-1][-1])
+        at = np.concatenate(at)
+        place = other.place.astype(np.int64) + len(self.text)
+        return Level(np.concatenate([self.text, other.text]), np.insert(self.place.astype(np.int64), at, place), np.insert(self.doc, at, other.doc))
 
 
 class IndexFamily:
@@ -246,21 +337,22 @@ class IndexFamily:
 
     def meet(self, batch: Level) -> np.ndarray:
         """Each string's smallest document so far; the batch's new strings enter as a level of their own."""
-        known = np.full(len(batch), NOWHERE)
+        known, strings = np.full(len(batch), NOWHERE), batch.strings()
         for level in self.levels:
-            np.minimum(known, level.scan(batch.strings), out=known)
+            at, same = level.scan(strings)
+            known[same] = np.minimum(known[same], level.doc[at[same]])
         new = known == NOWHERE
         if new.any():
-            self.levels.append(Level(batch.strings[new], batch.doc[new]))
+            self.levels.append(batch.kept(new))
         while len(self.levels) > 1 and len(self.levels[-2]) <= 2 * len(self.levels[-1]):
             b, a = self.levels.pop(), self.levels.pop()
             self.levels.append(a.merged(b))
         return np.minimum(known, batch.doc)
 
 
-def _strings(body: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """The LENGTH-byte strings at `first`, as fixed-width byte strings (equal lengths, so padding can't confuse)."""
-    return np.ndarray((len(body) - LENGTH + 1,), f"S{LENGTH}", body.tobytes(), 0, (1,))[first] if len(first) else np.zeros(0, f"S{LENGTH}")
+def _strings(text: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The LENGTH-byte strings at some places, as fixed-width byte strings (equal lengths, so padding can't confuse)."""
+    return np.ndarray((len(text) - LENGTH + 1,), f"S{LENGTH}", text, 0, (1,))[place] if len(place) else np.zeros(0, f"S{LENGTH}")
 
 
 def repeated(docs: np.ndarray, sizes: np.ndarray, body: np.ndarray, batch: int = BATCH) -> np.ndarray:
@@ -278,65 +370,38 @@ def repeated(docs: np.ndarray, sizes: np.ndarray, body: np.ndarray, batch: int =
         low = ends[at] - n[at]
         which = np.repeat(np.arange(at, to), m)
         start = np.arange(len(which)) - np.repeat(np.cumsum(m) - m, m) + (begin[which] - begin[at])
-        strings = _strings(body[begin[at] : begin[to - 1] + sizes[to - 1]], start)
-        level, place = Level.of(strings, docs[which])
-        flags[low : low + len(which)] = family.meet(level)[place] < docs[which]
+        level, number = Level.of(body[begin[at] : begin[to - 1] + sizes[to - 1]], start, docs[which])
+        flags[low : low + len(which)] = family.meet(level)[number] < docs[which]
         at = to
     return flags
 
 
-def _repeats_of_bucket(bucket: pa.Table) -> pa.Table:
-    out_part, out = [], []
-    parts, sent = [], []
-    for part, x in zip(bucket.column("part").to_pylist(), bucket.column("payload").to_pylist(), strict=True):
-        arrays = _unpack(x)
-        if len(arrays) == 3:  # spans that the part has settled itself
-            out_part.append(part)
-            out.append(x)
-        else:
-            parts.append(part)
-            sent.append(arrays)
-    if sent:
-        doc = np.concatenate([a[0] for a in sent])
-        which = np.repeat(np.arange(len(sent)), [len(a[0]) for a in sent])
-        count, size = np.concatenate([a[1] for a in sent]), np.concatenate([a[4] for a in sent]).astype(np.int64)
-        row, place = np.concatenate([a[2] for a in sent]), np.concatenate([a[3] for a in sent])
-        begin, held = np.cumsum(size) - size, np.cumsum(count) - count
-        raw = b"".join(a[5].tobytes() for a in sent)
-        seen: dict[bytes, int] = {}
-        first, spans = [], [Spans() for _ in sent]
-        same: list[int] = []
-        twin: dict[int, int] = {}
-        for k in np.argsort(doc, kind="stable").tolist():
-            a = int(begin[k])
-            known = seen.setdefault(raw[a : a + int(size[k])], k)
-            if known == k:
-                first.append(k)
-            elif doc[known] < doc[k]:
-                for j in range(held[k], held[k] + count[k]):
-                    spans[which[k]].add(int(row[j]), int(place[j]), int(place[j]) + int(size[k]))
-            else:  # the same document id in another row: what holds for the first holds for it
-                same.append(k)
-                twin[k] = known
-        del seen
-        sizes = size[first]
-        body = np.frombuffer(b"".join(raw[begin[k] : begin[k] + size[k]] for k in first), np.uint8)
-        flags = repeated(doc[first], sizes, body)
-        n = sizes - LENGTH + 1
-        low = dict(zip(first, (np.cumsum(n) - n).tolist(), strict=True))
-        for k in [*first, *same]:
-            at = low[twin.get(k, k)]
-            own = flags[at : at + int(size[k]) - LENGTH + 1]
-            if own.any():
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], own, [False]]).astype(np.int8)))
-                for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
-                    for j in range(held[k], held[k] + count[k]):
-                        spans[which[k]].add(int(row[j]), int(place[j]) + a, int(place[j]) + b - 1 + LENGTH)
-        for s, part in zip(spans, parts, strict=True):
-            if s.row:
-                out_part.append(part)
-                out.append(s.packed())
-    return pa.table({"part": pa.array(out_part, pa.int64()), "payload": pa.array(out, pa.binary())})
+def _repeats_of_bucket(n: int, radix: int):
+    def find(messages: pa.Table) -> pa.Table:
+        rows = _joined(messages, len(SEGMENTS))
+        me = int(rows[0][0])
+        settled = np.flatnonzero(rows[6] == 0)
+        _, own, end, _, own_row, own_start, _, _ = _taken(rows, SEGMENTS, settled)
+        order = np.flatnonzero(rows[6])
+        _, part, doc, count, row, place, size, body = _taken(rows, SEGMENTS, order[np.argsort(rows[2][order], kind="stable")])
+        del rows
+        size, count = size.astype(np.int64), count.astype(np.int64)
+        flags = repeated(doc, size, body)
+        m = size - LENGTH + 1
+        begin = np.cumsum(m) - m
+        before, after = np.concatenate([[False], flags[:-1]])[: len(flags)], np.concatenate([flags[1:], [False]])[: len(flags)]
+        before[begin] = False
+        after[begin + m - 1] = False
+        first, last = np.flatnonzero(flags & ~before), np.flatnonzero(flags & ~after)
+        segment = np.searchsorted(begin, first, "right") - 1
+        first, last = first - begin[segment], last - begin[segment] + LENGTH
+        k, held = count[segment], np.cumsum(count) - count
+        run = np.repeat(np.arange(len(segment)), k)
+        at = np.repeat(held[segment] - (np.cumsum(k) - k), k) + np.arange(len(run))
+        spans = [np.concatenate(x).astype(np.int32) for x in ((own, part[segment][run]), (own_row, row[at]), (own_start, place[at] + first[run]), (end, place[at] + last[run]))]
+        return _messages(_taken(spans, SPANS, np.lexsort((spans[2], spans[1], spans[0]))), SPANS, _first_width(n, radix), me // radix)
+
+    return find
 
 
 def _cut_part(texts: bool):
@@ -344,8 +409,7 @@ def _cut_part(texts: bool):
         if not part.num_rows:
             return pa.table({"doc_id": pa.array([], pa.int64()), "n_bytes": pa.array([], pa.int64()), "n_removed": pa.array([], pa.int64()), "n_spans": pa.array([], pa.int64()), "kept": pa.array([], pa.binary())})
         ids, data, ends = _ordered(part)
-        sent = [_unpack(x) for x in spans.column("payload").to_pylist()]
-        row, start, end = (np.concatenate([a[k] for a in sent]).astype(np.int64) if sent else np.zeros(0, np.int64) for k in range(3))
+        _, row, start, end = (a.astype(np.int64) for a in _joined(spans, len(SPANS)))
         edge = np.zeros(len(data) + 1, np.int32)
         np.add.at(edge, ends[row] + start, 1)
         np.add.at(edge, ends[row] + end, -1)
@@ -362,17 +426,16 @@ def _cut_part(texts: bool):
     return cut
 
 
-def without_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", texts: bool = True, part_bytes: int = PART_BYTES) -> DataFrame:
+def without_repeats(df: DataFrame, text: str = "text", key: str = "doc_id", texts: bool = True, part_bytes: int = PART_BYTES, radix: int = RADIX, hot: int = HOT) -> DataFrame:
     """key, n_bytes, n_removed, n_spans and kept: the remaining bytes, or their SHA-256 if `texts` is false."""
     small_batches(df.sparkSession)
     docs = identified(df, text, key=key).select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("body"))
     total = docs.agg(F.sum(F.octet_length("body"))).first()[0] or 0
-    parts = max(8, -(-total // part_bytes))
-    dealt = docs.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)))
-    blob = "bucket long, part long, payload binary"
-    keys = dealt.groupBy("part").applyInArrow(_keys_of_part(parts), blob)
-    shared = keys.groupBy("bucket").applyInArrow(_shared_keys, "part long, bucket long, payload binary")
-    sent = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_segments_of_part(parts), blob)
-    spans = sent.groupBy("bucket").applyInArrow(_repeats_of_bucket, "part long, payload binary")
-    out = dealt.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(_cut_part(texts), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    n = max(8, -(-total // part_bytes))
+    dealt = docs.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(n)))
+    keys = _routed(dealt.groupBy("part").applyInArrow(_keys_of_part(n, radix), MESSAGE), KEYS, n, radix)
+    shared = _routed(keys.groupBy("at").applyInArrow(_shared_keys(n, radix, hot), MESSAGE), SHARED, n, radix)
+    sent = dealt.groupBy("part").cogroup(shared.groupBy("at")).applyInArrow(_segments_of_part(n, radix), MESSAGE)
+    spans = _routed(_routed(sent, SEGMENTS, n, radix).groupBy("at").applyInArrow(_repeats_of_bucket(n, radix), MESSAGE), SPANS, n, radix)
+    out = dealt.groupBy("part").cogroup(spans.groupBy("at")).applyInArrow(_cut_part(texts), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.withColumnRenamed("doc_id", key)

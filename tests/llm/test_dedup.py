@@ -171,15 +171,17 @@ def passages(seed=5):
     return rows
 
 
-@pytest.mark.parametrize("part_bytes", [1 << 30, 600])
-def test_repeats(spark, part_bytes):
+@pytest.mark.parametrize("limits", [(1 << 30, 128, 1 << 14), (600, 128, 1 << 14), (600, 3, 1)])
+def test_repeats(spark, limits):
+    """Of one part, of several, and with messages in several hops and most keys dealt string by string."""
     rows = passages()
-    out = repeats.without_repeats(docs(spark, rows), part_bytes=part_bytes)
+    out = repeats.without_repeats(docs(spark, rows), part_bytes=limits[0], radix=limits[1], hot=limits[2])
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out.collect()) == repeats_by_hand(rows)
     assert repeats.without_repeats(docs(spark, rows).limit(0)).count() == 0
 
 
-def test_index_family_merges_geometrically():
+def test_index_family_merges_geometrically(monkeypatch):
+    monkeypatch.setattr(repeats, "STEP", 7)
     rng = np.random.default_rng(1)
     docs_, sizes, body = [], [], []
     for d in range(200):
@@ -193,10 +195,31 @@ def test_index_family_merges_geometrically():
     assert (a == b).all()
     family = repeats.IndexFamily()
     for k in range(64):
-        family.meet(repeats.Level.of(np.array([f"{k:050d}", f"{k // 2:050d}"], "S50"), np.array([k, k]))[0])
+        text = np.frombuffer(f"{k:050d}{k // 2:050d}".encode(), np.uint8)
+        family.meet(repeats.Level.of(text, np.array([0, 50]), np.array([k, k]))[0])
     assert len(family.levels) <= 7 and sum(map(len, family.levels)) == 64
 
 
+def test_messages_of_a_task_are_bounded():
+    """A part sends at most `radix` messages, however many buckets there are, and every row arrives."""
+    import pyarrow as pa
+
+    n, radix = 1000, 10
+    width = repeats._first_width(n, radix)
+    to = np.arange(n, dtype=np.int32)
+    lists = np.repeat(to, to % 3)
+    sent, rounds = repeats._messages([to, to % 3, lists], (None, None, 1), width, 0), 1
+    assert sent.num_rows == radix and set(sent.column("at").to_pylist()) == set(range(radix))
+    while width > 1:
+        width //= radix
+        parts = [repeats._messages(repeats._joined(sent.slice(k, 1), 3), (None, None, 1), width, 0) for k in range(sent.num_rows)]
+        assert all(p.num_rows <= radix for p in parts)
+        sent, rounds = pa.concat_tables(parts), rounds + 1
+    assert rounds == 3 and sent.num_rows == n
+    got = [repeats._unpack(x) for x in sent.column("payload").to_pylist()]
+    assert all(int(a[0]) == at and c.tolist() == [at] * (at % 3) for at, (a, _, c) in zip(sent.column("at").to_pylist(), got, strict=True))
+
+
 def test_segment_keys_depend_on_the_string_alone():
     rng = np.random.default_rng(2)
     common = rng.integers(97, 123, 90, dtype=np.uint8)
