@@ -18,7 +18,8 @@ Texts are dealt to parts of about PART_BYTES by a hash of their id, in one excha
 
 A passage that a third of all documents share sends one segment for each part, not for each document.
 Messages between n parts and n buckets go in hops: one message for each of RADIX ranges of destinations, split
-further by tasks that gather RADIX senders of one range. That is RADIX messages a part and hop, not n a part.
+further by tasks that gather RADIX senders of one range. That is at most RADIX messages a part and hop, whatever
+n is; each hop writes what it carries once more.
 Comparison is on complete strings; hashes only deal them out and rule strings out.
 
 Defined cases: null text counts as empty; a text shorter than LENGTH bytes loses nothing; rows without
@@ -47,8 +48,8 @@ BLOCK_BYTES = 1 << 20
 BATCH = 1 << 17
 #: Strings of a level that a scan or merge holds at once.
 STEP = 1 << 16
-#: Ranges of destinations that a task sends messages to.
-RADIX = 128
+#: Ranges of destinations that a task sends messages to: one hop up to 64 GiB of text, two up to 512 TiB.
+RADIX = 1 << 13
 #: Documents beyond which a key's segments are dealt string by string.
 HOT = 1 << 14
 NOWHERE = np.iinfo(np.int64).max
