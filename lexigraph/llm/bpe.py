@@ -13,13 +13,15 @@ The vocabulary file is a parameter; its tables (bounded by the vocabulary, about
 broadcast, so executors need no file.
 
 Defined cases: null text counts as empty; empty text has no tokens and decodes to ''; rows without
-doc_id get no row; repeated rows each get a row; an empty table gives an empty result.
+doc_id get no row; repeated rows each get a row; very long texts are encoded alone in their batch; extra columns are unread, whatever their names;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
 import pickle
 import re
 import unicodedata
@@ -113,6 +115,7 @@ class Encoder:
                     break
         self.fits: dict[tuple[int, int], bool] = {}
         self.special_at = re.compile("|".join(map(re.escape, sorted(v.special, key=len, reverse=True)))) if v.special else None
+        self.special_mark = os.path.commonprefix(list(v.special))  # a cheap test that most texts fail
         blob = [(t + " ").encode() for t in v.tokens]
         self.sizes = np.array([len(b) for b in blob], np.int64)
         self.offsets = np.cumsum(self.sizes) - self.sizes
@@ -204,7 +207,7 @@ class Encoder:
         """Token ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        if self.special_at is None or "<|" not in text:
+        if self.special_at is None or self.special_mark not in text:
             return b"".join(self._piece(text))
         out, at = [], 0
         for m in self.special_at.finditer(text):

@@ -13,7 +13,9 @@ same bound at every size of the corpus; prediction covers every whole text. What
 the sample's vectors, sample x languages x DIMENSIONS floats, and the first HEAD bytes of its texts.
 
 Defined cases: null text, or text without a letter: `und`, score 0, rejected; no labelled row to learn
-from: `und` for all; rows without doc_id get no row; repeated rows each get a row.
+from: `und` for all; rows without doc_id get no row; repeated rows each get a row; of languages with the same cosine,
+the first by name; very long texts are counted alone in their batch; extra columns are unread, whatever their names;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations

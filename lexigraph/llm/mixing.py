@@ -14,7 +14,8 @@ nothing is joined or exchanged to apply the mixture.
 
 Defined cases: null source is a source of its own; null or empty text has no tokens and takes part in the
 whole passes of its source, as do sources without any token (one pass); rows without doc_id get no row;
-repeated rows are mixed as separate documents; an empty table gives an empty result.
+repeated rows are mixed as separate documents; a very long text makes its block that much larger; extra columns
+are unread (`mixed_documents` carries them), whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations

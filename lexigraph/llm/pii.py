@@ -12,7 +12,8 @@ and decoding), so a line's best labelling is exactly the best labelling of the r
 and only these runs are decoded.
 
 Defined cases: null text counts as empty and has no spans; rows without doc_id get no row; repeated rows
-each get a row; offsets are code points, end exclusive.
+each get a row; very long texts are read alone in their batch, in linear time; extra columns are unread, whatever
+their names; an empty table gives an empty result; offsets are code points, end exclusive.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ A document sends each of its line hashes once, counts combine before the exchang
 brings frequent lines back is on the hash, so that Spark can split a hot line. Nothing is broadcast by hand.
 
 Defined cases: null text has no words and fails the base rule; null host is a host of its own; rows
-without doc_id get no row; each row counts as a document, repeated ones too; empty table, empty result.
+without doc_id get no row; each row counts as a document, repeated ones too; very long texts are
+measured alone in their batch; extra columns are unread, whatever their names; empty table, empty result.
 """
 
 from __future__ import annotations

@@ -23,7 +23,8 @@ n is; each hop writes what it carries once more.
 Comparison is on complete strings; hashes only deal them out and rule strings out.
 
 Defined cases: null text counts as empty; a text shorter than LENGTH bytes loses nothing; rows without
-doc_id get no row; rows with the same doc_id are not smaller than each other; an empty table, empty result.
+doc_id get no row; rows with the same doc_id are not smaller than each other; a very long text makes its part that much larger and is
+keyed as a block of its own; extra columns are unread, whatever their names; an empty table, empty result.
 """
 
 from __future__ import annotations

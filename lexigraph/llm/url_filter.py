@@ -8,7 +8,8 @@ through. A key's answer is the parity of the first level that rejects it, which
 of the corpus. Only the cascade travels to the executors; its size follows the list, not the corpus.
 
 Defined cases: a null url or one without `://` has empty host and path, no rule and the verdict allow;
-repeated rows each get a row; an empty table gives an empty result; other columns are not read.
+repeated rows each get a row; of rules of one length, the one with the longer host wins; of a very long host, only as
+many labels are asked as a listed host has; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations

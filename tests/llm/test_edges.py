@@ -103,6 +103,18 @@ def test_long_texts_in_tokens(spark, table):
         assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.decoded == library.decode(ids, skip_special_tokens=False)
 
 
+@pytest.mark.skipif(not os.path.exists(VOCABULARY), reason="no vocabulary file")
+def test_special_tokens_of_any_spelling():
+    from dataclasses import replace
+
+    held = bpe.Vocabulary.load(VOCABULARY)
+    plain, (first, second) = bpe.Encoder(held), list(held.special)[:2]
+    own = bpe.Encoder(replace(held, special={"[cut]": held.special[first], "</s>": held.special[second]}))
+    ids = lambda e, x: np.frombuffer(e.encode(x), "<u4").tolist()
+    assert ids(own, "one[cut]two</s>") == [*ids(plain, "one"), held.special[first], *ids(plain, "two"), held.special[second]]
+    assert ids(own, "one two") == ids(plain, "one two") == ids(plain, f"one two{first}")[:-1]
+
+
 def test_equal_cosines_go_to_the_first_language():
     one = np.full((2, 16), 0.25, np.float32)
     model = language_id.Model(np.ones(16, np.float32), one, ["aa", "bb"], np.zeros(8))
