@@ -53,9 +53,14 @@ def scale_count(facts: DataFrame, edges: DataFrame, pattern: str) -> DataFrame:
     return of_patients(current(facts), edges).where(F.col("word").rlike(f"(?is)^(?:{pattern})$")).agg(F.countDistinct("patient").alias("n_patients"))
 
 
+def with_term(facts: DataFrame, term: str) -> DataFrame:
+    """fact, word of the confirmed facts with the term."""
+    return current(facts).where(has_term(term, "name", "word")).select(F.col("key").alias("fact"), "word")
+
+
 def with_site(facts: DataFrame, concepts: DataFrame, edges: DataFrame, term: str, along: tuple[str, ...] = ("LOCATED_IN", "AFFECTS")) -> DataFrame:
     """fact, word, site: facts with the term, with the concept of the place they are linked to, if there is one."""
-    found = current(facts).where(has_term(term, "name", "word")).select(F.col("key").alias("fact"), "word")
+    found = with_term(facts, term)
     steps = edges.where(F.col("type").isin(*along)).select(F.col("start_key").alias("fact"), F.col("end_key").alias("key"))
     codes = edges.where("type = 'HAS_CODE'").select(F.col("start_key").alias("key"), F.col("end_key").alias("concept"))
     sites = steps.join(codes, "key").join(concepts.select(F.col("key").alias("concept"), F.col("name").alias("site")), "concept").select("fact", "site")
@@ -79,10 +84,10 @@ def measured(facts: DataFrame, field: str, at_least: float, unit: str) -> DataFr
     return rows.where((F.lower("unit") == unit.lower()) & (F.col("number") >= at_least))
 
 
-def chains(edges: DataFrame, relation: str = "LOCATED_IN", longest: int | None = None) -> DataFrame:
-    """start_key, end_key, hops: the shortest chain of edges of one type between two facts, of any length, or up to
+def chains(edges: DataFrame, relation: str | None = "LOCATED_IN", longest: int | None = None) -> DataFrame:
+    """start_key, end_key, hops: the shortest chain of edges of one type (None: of any) between two facts, of any length, or up to
     `longest` hops. A join for each length until no new pair is met, so cycles end too."""
-    step = cut(edges.where(F.col("type") == relation).select("start_key", "end_key").distinct())
+    step = cut((edges if relation is None else edges.where(F.col("type") == relation)).select("start_key", "end_key").distinct())
     reach = new = step.withColumn("hops", F.lit(1))
     n = 1
     while longest is None or n < longest:
@@ -95,6 +100,20 @@ def chains(edges: DataFrame, relation: str = "LOCATED_IN", longest: int | None =
     return reach
 
 
+def bundled_chains(bundles: DataFrame, singles: DataFrame, relation: str = "LOCATED_IN") -> DataFrame:
+    """hops, n: how many pairs of facts have a shortest chain of so many edges, as chains() finds them.
+
+    The facts of one side of a bundle have the same edges, so chains run between sides, and a chain counts for all pairs of
+    their facts; facts of single edges stand for themselves."""
+    own, alone = bundles.where(F.col("type") == relation), singles.where(F.col("type") == relation)
+    name = lambda k: F.to_json(F.struct("source_id", *(F.col(f"_{k}{c}").alias(c) for c in "wl")))
+    sides = cut(own.select(name("s").alias("start_key"), name("e").alias("end_key"), F.size("_starts").alias("_n1"), F.size("_ends").alias("_n2")).unionByName(alone.select("start_key", "end_key", F.lit(1).alias("_n1"), F.lit(1).alias("_n2"))))
+    sizes = sides.select(F.inline(F.array(*(F.struct(F.col(k).alias("key"), F.col(n).cast("long").alias("_n")) for k, n in (("start_key", "_n1"), ("end_key", "_n2")))))).distinct()
+    found = chains(sides, None)
+    of = lambda k, n: sizes.select(F.col("key").alias(k), F.col("_n").alias(n))
+    return found.join(of("start_key", "_s"), "start_key").join(of("end_key", "_e"), "end_key").groupBy("hops").agg(F.sum(F.col("_s") * F.col("_e")).alias("n"))
+
+
 def concept_hubs(facts: DataFrame, edges: DataFrame, concepts: DataFrame) -> DataFrame:
     """concept, concept_name, n_patients, n_facts: how many patients share a concept."""
     return with_codes(of_patients(facts, edges), edges, concepts).groupBy("concept", "concept_name").agg(F.countDistinct("patient").alias("n_patients"), F.count("*").alias("n_facts"))
