@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexigraph.functions import ontology
+from lexigraph.operators import relations
 from lexigraph.plans import concept_graph, fact_graph, graph_queries, metrics, pipeline
 from lexigraph.schema import MENTIONS, conform
 from lexigraph.sources import corpora, sinks
@@ -195,3 +196,30 @@ def test_command_line(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "metrics" / "label_distribution")).count() == 41
     assert (tmp_path / "metrics" / "entity_hubs.csv").exists()
     cli.main(["sentence", "Biopsy of a 54 years old male."])
+
+
+def test_bundles_hold_all_pairs_in_one_row(spark):
+    """Edges between repeated words stay packed until they are laid out, and facts that share a key are settled edge by edge."""
+    words = [("mass", "SIGN_SYMPTOM", 10 * k, "", "") for k in range(6)] + [("lung", "BIOLOGICAL_STRUCTURE", 100 + 10 * k, "", "") for k in range(5)]
+    rels = relations_of(spark, [("mass", "SIGN_SYMPTOM", "LOCATED_IN", "lung", "BIOLOGICAL_STRUCTURE", 0.7), ("mass", "SIGN_SYMPTOM", "LOCATED_IN", "lung", "BIOLOGICAL_STRUCTURE", 0.9)])
+    roles = ontology.roles(spark)
+    for more in ([], [("mass", "DISEASE_DISORDER", 0, "", "")]):  # the last: a second fact of the same key
+        found = mentions_of(spark, words + more)
+        facts = fact_graph.facts(found, rels, roles)
+        bundles, singles = fact_graph.edge_parts(found, rels, facts, roles)
+        assert bundles.count() == (0 if more else 1)
+        edges = fact_graph.edges(found, rels, facts, roles).collect()
+        got = [(r.start_key, r.end_key, r.relation_score) for r in edges if r.type == "LOCATED_IN"]
+        assert sorted(got) == sorted((f"1:{10 * i}:{10 * i + 4}", f"1:{100 + 10 * j}:{104 + 10 * j}", 0.7) for i in range(6) for j in range(5))
+        assert sum(r.type == "SUBJECT" for r in edges) == 11
+        assert {(r.hops, r.n) for r in graph_queries.bundled_chains(bundles, singles).collect()} == {(1, 30)}
+
+
+def test_repeated_entities_meet_in_one_row(spark):
+    """A sentence travels once, with its entities packed; before, once for each entity."""
+    sents = spark.createDataFrame([(1, 0, "Mass in the LUNG"), (1, 1, "lung only"), (2, 0, "lung mass")], "id long, sent int, sentence string")
+    ents = spark.createDataFrame([(1, "mass", "A", 1), (1, "lung", "B", 2), (1, "mass", "C", 3), (2, "lung", "B", 1)], "id long, word string, label string, ord long")
+    held = relations.held_entities(sents, ents).collect()
+    assert [(r.id, r.sent, sorted((e.ord, e.word, e.label) for e in r._e)) for r in held] == [(1, 0, [(1, "mass", "A"), (2, "lung", "B"), (3, "mass", "C")])]
+    pairs = relations.all_pairs(relations.held_entities(sents, ents)).collect()
+    assert sorted((r.entity1, r.ord1, r.entity2, r.ord2) for r in pairs) == [("lung", 2, "mass", 3), ("mass", 1, "lung", 2)]
