@@ -1,4 +1,5 @@
-"""Relations from a dependency parse, as joins over a token table.
+"""Relations from a dependency parse. A sentence's tokens and entities are packed into one row, and what the rules and
+paths ask of the parse is worked out there (parse.py, in Arrow batches): tokens are never joined with each other.
 
 tokens: id, sent, i (place in the sentence), text, lemma, pos, dep, head (place), start, end. The parser is a
 plug-in; any source of such rows will do. A root's head is itself.
@@ -6,19 +7,18 @@ plug-in; any source of such rows will do. A root's head is itself.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import ontology
 from ..runtime import cut
+from . import parse
 from .dedup import first_per_key
-from .relations import licensed
+from .relations import packed
 
 KEY = ["id", "sent"]
 METHOD = "spacy_dependency"
-SKIPPED = ("det", "punct", "cc")
-#: Dependents that belong to the noun chunk of their head.
-CHUNK_DEPS = ("det", "amod", "compound", "nummod", "poss", "nmod", "quantmod")
+SKIPPED, CHUNK_DEPS = parse.SKIPPED, parse.CHUNK_DEPS
 
 
 def _chained(start: DataFrame, step: DataFrame) -> DataFrame:
@@ -40,69 +40,60 @@ def conjunct_groups(tokens: DataFrame) -> DataFrame:
     return _chained(tokens.select(*KEY, "i", F.col("i").alias("to")), conj).withColumnRenamed("to", "lead")
 
 
-def with_conjuncts(tokens: DataFrame) -> DataFrame:
-    """KEY, i, other: each token with itself and all tokens of its coordination."""
-    lead = conjunct_groups(tokens)
-    return lead.join(lead.withColumnRenamed("i", "other"), [*KEY, "lead"]).select(*KEY, "i", "other")
+def packed_parse(tokens: DataFrame, entities: DataFrame | None = None) -> DataFrame:
+    """A row for each sentence that has entities: id, sent, sentence, _e (by ord) and _t (its tokens, by place). Rows that
+    are packed already, with _e and _t, stay as they are: then nothing is exchanged."""
+    if entities is None:
+        return tokens.withColumn("_e", F.array_sort("_e"))
+    own = tokens.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("i", "text", "lemma", "dep", "head", "start", "end"))).alias("_t"))
+    return packed(entities).withColumn("_e", F.array_sort("_e")).join(own, KEY)
 
 
-def noun_chunks(tokens: DataFrame) -> DataFrame:
-    """KEY, i, chunk: text of the noun chunk that the token stands in, else its own text."""
-    up = tokens.where(F.col("dep").isin(*CHUNK_DEPS)).select(*KEY, F.col("i").alias("to"), F.col("head").alias("next"))
-    top = _chained(tokens.select(*KEY, "i", F.col("i").alias("to")), up)
-    held = top.join(tokens.select(*KEY, "i", "text"), [*KEY, "i"])
-    chunks = held.groupBy(*KEY, "to").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "text"))), lambda x: x["text"]), " ").alias("chunk"))
-    return top.join(chunks, [*KEY, "to"]).select(*KEY, "i", "chunk")
+def _named(dep: Column) -> Column:
+    """A dependency's place in parse.DEPS, 0 for other ones, -1 if it is null."""
+    return F.coalesce(F.array_position(F.array(*map(F.lit, parse.DEPS)), dep), F.lit(-1)).cast("int")
 
 
-def entity_of_token(tokens: DataFrame, entities: DataFrame) -> DataFrame:
-    """KEY, i, word, label: the entity that a token stands for: one of the same text, else the first one that
-    overlaps the token's noun chunk."""
-    rows = tokens.join(noun_chunks(tokens), [*KEY, "i"]).join(entities, KEY)
-    w, t, c = F.lower("word"), F.lower("text"), F.lower("chunk")
-    near = F.array_contains(F.split(w, r"\s+"), t) | F.contains(c, w) | F.contains(w, c)
-    return first_per_key(rows.where((w == t) | near).withColumn("_exact", (w != t).cast("int")), [*KEY, "i"], ["_exact", "ord"]).select(*KEY, "i", "word", "label")
+def _kernel(f, kind: str):
+    """f over Arrow arrays. Called not deterministic so that it runs once, where it stands: filters made of its result would else be
+    pushed below it, with a copy of it inside."""
+    return F.arrow_udf(f, kind).asNondeterministic()
 
 
-def _emitted(pairs: DataFrame, licences: DataFrame) -> DataFrame:
-    rows = pairs.where("_1word <> _2word").select(
-        "id", "sent", F.col("_1word").alias("entity1"), F.col("_1label").alias("entity1_label"), "relation", F.col("_2word").alias("entity2"), F.col("_2label").alias("entity2_label"),
-        F.lit(1.0).alias("score"), "sentence", F.lit(METHOD).alias("method"), "trigger",
+def _related(rows: DataFrame, verbs: list[tuple[str, str]], licences: DataFrame, attached: bool) -> DataFrame:
+    """What the rules find in each sentence's row, by the relations that the pair of labels may have: for verbs the verb's,
+    for attachments any of ATTACHMENT_RELATIONS."""
+    lemmas = sorted({v for v, _ in verbs})
+    of = lambda c, t: F.struct(t["i"].cast("long").alias("i"), F.coalesce(t["head"], t["i"]).cast("long").alias("head"), _named(t["dep"]).alias("dep"), c.alias("verb"), F.lower(t["text"]).alias("low"), F.when(c > 0, t["text"]).alias("text"))
+    found_verb = lambda t: F.coalesce(F.array_position(F.array(*map(F.lit, lemmas)), F.lower(t["lemma"])), F.lit(0)).cast("int") if lemmas else F.lit(0)
+    laid = rows.select(*KEY, "sentence", "_e", _kernel(parse.related_of if attached else parse.verb_related_of, parse.RELATED)(F.transform("_t", lambda t: of(found_verb(t), t)), F.transform("_e", lambda e: F.lower(e["word"]))).alias("_r"))
+    hit = laid.select(*KEY, "sentence", "_e", F.inline("_r")).select(*KEY, "sentence", "trigger", "verb", F.get("_e", F.col("x")).alias("_1"), F.get("_e", F.col("y")).alias("_2")).where("_1.word <> _2.word")
+    may = licences.select("label1", "label2", "relation").distinct()
+    named = licences.sparkSession.createDataFrame([(lemmas.index(v) + 1, r) for v, r in verbs] + [(0, r) for r in ontology.ATTACHMENT_RELATIONS if attached], "verb int, relation string")
+    offers = may.join(F.broadcast(named), "relation").select(F.col("label1").alias("entity1_label"), F.col("label2").alias("entity2_label"), "verb", "relation")  # fixed arguments
+    return hit.withColumns({"entity1_label": F.col("_1.label"), "entity2_label": F.col("_2.label")}).join(F.broadcast(offers), ["entity1_label", "entity2_label", "verb"]).select(
+        "id", "sent", F.col("_1.word").alias("entity1"), "entity1_label", "relation", F.col("_2.word").alias("entity2"), "entity2_label", F.lit(1.0).alias("score"), "sentence", F.lit(METHOD).alias("method"), "trigger",
     )
-    return licensed(rows, licences)
 
 
-def verb_relations(tokens: DataFrame, entities: DataFrame, verbs: DataFrame, licences: DataFrame) -> DataFrame:
-    """Subjects and objects of a verb whose lemma names a relation; direct children and what is coordinated with them."""
-    named = F.broadcast(verbs.withColumnRenamed("lemma", "_v"))  # the verb table: a fixed argument
-    roots = tokens.join(named, F.lower("lemma") == F.col("_v")).select(*KEY, F.col("i").alias("verb"), F.col("text").alias("trigger"), "relation")
-    others, chunks = with_conjuncts(tokens), noun_chunks(tokens)
+def _listed(verbs: DataFrame) -> list[tuple[str, str]]:
+    """The verb table: a small fixed argument."""
+    return [(r["lemma"], r["relation"]) for r in verbs.select("lemma", "relation").collect()]
 
-    def arguments(deps: tuple[str, ...], k: int) -> DataFrame:
-        own = tokens.where(F.col("dep").isin(*deps)).select(*KEY, "i", F.col("head").alias("verb"))
-        wide = own.join(others, [*KEY, "i"]).select(*KEY, "verb", F.col("other").alias("i")).distinct().join(chunks, [*KEY, "i"])
-        match = wide.join(entities, KEY).where(F.contains(F.lower("chunk"), F.lower("word")) | F.contains(F.lower("word"), F.lower("chunk")))
-        return match.select(*KEY, "verb", F.col("word").alias(f"_{k}word"), F.col("label").alias(f"_{k}label")).distinct()
 
-    sentences = entities.select(*KEY, "sentence").distinct()
-    pairs = roots.join(arguments(ontology.SUBJECT_DEPS, 1), [*KEY, "verb"]).join(arguments(ontology.OBJECT_DEPS, 2), [*KEY, "verb"]).join(sentences, KEY)
-    return _emitted(pairs, licences)
+def verb_relations(tokens: DataFrame, entities: DataFrame | None, verbs: DataFrame, licences: DataFrame) -> DataFrame:
+    """Subjects and objects of a verb whose lemma names a relation; direct children and what is coordinated with them."""
+    return _related(packed_parse(tokens, entities), _listed(verbs), licences, False)
 
 
-def attachment_relations(tokens: DataFrame, entities: DataFrame, licences: DataFrame) -> DataFrame:
+def attachment_relations(tokens: DataFrame, entities: DataFrame | None, licences: DataFrame) -> DataFrame:
     """Modifiers with their nouns, and predicates with their verb's subjects; in whichever order is licensed."""
-    entity, others = entity_of_token(tokens, entities), with_conjuncts(tokens)
-    side = lambda k, i: entity.select(*KEY, F.col("i").alias(i), F.col("word").alias(f"_{k}word"), F.col("label").alias(f"_{k}label"))
-    modifiers = tokens.where(F.col("dep").isin(*ontology.MODIFIER_DEPS)).select(*KEY, "i", F.col("head").alias("_h"), F.col("dep").alias("trigger"))
-    first = modifiers.join(others, [*KEY, "i"]).join(side(1, "other"), [*KEY, "other"]).join(side(2, "_h"), [*KEY, "_h"])
-    predicates = tokens.where(F.col("dep").isin(*ontology.PREDICATE_DEPS)).select(*KEY, "i", F.col("head").alias("verb"), F.col("dep").alias("trigger"))
-    subjects = tokens.where(F.col("dep").isin(*ontology.SUBJECT_DEPS)).select(*KEY, F.col("i").alias("_s"), F.col("head").alias("verb"))
-    second = predicates.join(subjects, [*KEY, "verb"]).join(others, [*KEY, "i"]).join(side(2, "other"), [*KEY, "other"]).join(side(1, "_s"), [*KEY, "_s"])
-    columns = [*KEY, "trigger", "_1word", "_1label", "_2word", "_2label"]
-    pairs = first.select(*columns).unionByName(second.select(*columns)).distinct()
-    turned = pairs.select(*KEY, "trigger", F.col("_2word").alias("_1word"), F.col("_2label").alias("_1label"), F.col("_1word").alias("_2word"), F.col("_1label").alias("_2label"))
-    both = pairs.unionByName(turned).join(entities.select(*KEY, "sentence").distinct(), KEY)
-    return _emitted(both.withColumn("relation", F.explode(F.array(*map(F.lit, ontology.ATTACHMENT_RELATIONS)))), licences)
+    return _related(packed_parse(tokens, entities), [], licences, True)
+
+
+def rule_relations(tokens: DataFrame, entities: DataFrame | None, verbs: DataFrame, licences: DataFrame) -> DataFrame:
+    """verb_relations and attachment_relations in one pass over the parse."""
+    return _related(packed_parse(tokens, entities), _listed(verbs), licences, True)
 
 
 def collapsed_edges(tokens: DataFrame) -> DataFrame:
@@ -132,22 +123,19 @@ def entity_roots(tokens: DataFrame, entities: DataFrame) -> DataFrame:
     return first_per_key(tops, [*KEY, "i"], ["ord"]).select(*KEY, "i", "word", "label", "ord", "sentence")
 
 
-def path_pairs(tokens: DataFrame, entities: DataFrame) -> DataFrame:
+def path_pairs(tokens: DataFrame, entities: DataFrame | None = None) -> DataFrame:
     """Pairs of entities at most two edges apart in the collapsed parse, with no entity between them, not
     coordinated with each other, of different words; in order of the tokens. A path of at most two edges is an
-    edge or two edges that meet, so joins find them: nothing is searched."""
-    edges, roots = collapsed_edges(tokens), entity_roots(tokens, entities)
-    lead = conjunct_groups(tokens)
-    direct = edges.select(*KEY, "a", "b", F.lit(1).alias("length"))
-    middle = edges.join(roots.select(*KEY, F.col("i").alias("b")), [*KEY, "b"], "left_anti")
-    via = middle.join(edges.select(*KEY, F.col("a").alias("b"), F.col("b").alias("c")), [*KEY, "b"]).where("a <> c").select(*KEY, "a", F.col("c").alias("b"), F.lit(2).alias("length"))
-    paths = direct.unionByName(via).groupBy(*KEY, "a", "b").agg(F.min("length").alias("length")).where("a < b")
-    end = lambda k, i: roots.select(*KEY, F.col("i").alias(i), F.col("word").alias(f"entity{k}"), F.col("label").alias(f"entity{k}_label"))
-    pairs = paths.join(end(1, "a"), [*KEY, "a"]).join(end(2, "b"), [*KEY, "b"]).where("entity1 <> entity2")
-    leads = lambda i, name: lead.select(*KEY, F.col("i").alias(i), F.col("lead").alias(name))
-    apart = pairs.join(leads("a", "la"), [*KEY, "a"]).join(leads("b", "lb"), [*KEY, "b"]).where("la <> lb").drop("la", "lb")
-    sentences = entities.select(*KEY, "sentence").distinct()
-    return apart.join(sentences, KEY).select("id", "sent", "sentence", "entity1", "entity1_label", "entity2", "entity2_label", F.col("a").alias("ord1"), F.col("b").alias("ord2"), "length")
+    edge or two edges that meet: each sentence's are found in its row."""
+    rows = packed_parse(tokens, entities)
+    # the first token begins where the sentence's leading blanks end
+    low = F.lower(F.regexp_replace("sentence", r"(?U)^\s+", ""))
+    spans = F.transform(F.array(low), lambda s: F.struct(F.transform("_e", lambda e: F.struct((F.call_function("locate", F.lower(e["word"]), s) - 1).alias("at"), F.length(e["word"]).alias("n"))).alias("_s")))
+    numbers = F.transform("_t", lambda t: F.struct(t["i"].cast("long").alias("i"), F.coalesce(t["head"], t["i"]).cast("long").alias("head"), _named(t["dep"]).alias("dep"), t["start"].cast("long").alias("start"), t["end"].cast("long").alias("end")))
+    # inline: the sentence is made lower-case once for all of its entities
+    laid = rows.select(*KEY, "sentence", "_e", "_t", F.inline(spans)).select(*KEY, "sentence", "_e", _kernel(parse.paths_of, parse.PATHS)(numbers, "_s").alias("_p"))
+    hit = laid.select(*KEY, "sentence", "_e", F.inline("_p")).select(*KEY, "sentence", F.get("_e", F.col("x")).alias("_1"), F.get("_e", F.col("y")).alias("_2"), "a", "b", "length").where("_1.word <> _2.word")
+    return hit.select("id", "sent", "sentence", F.col("_1.word").alias("entity1"), F.col("_1.label").alias("entity1_label"), F.col("_2.word").alias("entity2"), F.col("_2.label").alias("entity2_label"), F.col("a").cast("int").alias("ord1"), F.col("b").cast("int").alias("ord2"), "length")
 
 
 def pair_verdicts(tokens: DataFrame, entities: DataFrame) -> DataFrame:

@@ -90,7 +90,7 @@ def extract_relations(found: DataFrame, docs: DataFrame, options: Options, proto
     if options.lexical:
         parts.append(relations.lexical_relations(ents, ontology.triggers(spark), licences).select(*columns[:-1], seq))
     if tokens is not None:
-        rules = dependency.verb_relations(tokens, ents, ontology.verbs(spark), licences).unionByName(dependency.attachment_relations(tokens, ents, licences))
+        rules = dependency.rule_relations(tokens, ents, ontology.verbs(spark), licences)
         order = F.to_json(F.struct("sent", "trigger", "entity1", "entity1_label", "entity2", "entity2_label")).alias("seq")
         parts.append(rules.select(*columns[:-1], order))
     if options.embedder is not None or options.generator is not None:
