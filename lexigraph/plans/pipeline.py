@@ -108,8 +108,7 @@ def extract_relations(found: DataFrame, docs: DataFrame, options: Options, proto
         raw = p if raw is None else raw.unionByName(p)
     if raw is None:
         raw = spark.createDataFrame([], "id long, entity1 string, entity1_label string, relation string, entity2 string, entity2_label string, score double, sentence string, method string, seq string")
-    enrich = lambda df: linking.endpoint_links(assertion.endpoint_flags(df, found), found)
-    return enrich(relations.reconciled(raw, ["seq"])), enrich(raw)
+    return linking.annotated(relations.reconciled(raw, ["seq"]), found), linking.annotated(raw, found)
 
 
 def extract_jointly(docs: DataFrame, options: Options) -> tuple[DataFrame, DataFrame]:

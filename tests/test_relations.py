@@ -224,3 +224,17 @@ def test_long_sentence_is_one_row(spark):
     assert {(r.entity1, r.relation, r.entity2) for r in rows.collect()} == {("pain", "HAS_SEVERITY", "w3999")}
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") <= 3  # tokens with entities, and the licences
+
+
+def test_ends_are_looked_up_in_one_join(spark):
+    """linking.annotated equals the flags and the links looked up end by end, and joins by record only."""
+    found = spark.createDataFrame(
+        [(1, "Pain", "SIGN_SYMPTOM", 5, True, False, False, None, "C1", "ache"), (1, "pain", "SIGN_SYMPTOM", 2, False, True, False, False, "C2", "pain"), (1, "lobe", "ORGAN", 1, False, False, True, False, None, None), (2, "pain", "X", 1, True, True, True, True, "C3", "x")],
+        "id long, word string, label string, seq long, is_negated boolean, is_uncertain boolean, is_family boolean, is_historical boolean, cui string, canonical_name string",
+    )
+    rels = spark.createDataFrame([(1, "PAIN", "SIGN_SYMPTOM", "lobe", "ORGAN"), (1, "lobe", "SIGN_SYMPTOM", "pain", None), (3, "pain", "X", "pain", "X"), (2, "pain", "X", "lobe", "ORGAN")], "id long, entity1 string, entity1_label string, entity2 string, entity2_label string")
+    got = linking.annotated(rels, found)
+    want = linking.endpoint_links(assertion.endpoint_flags(rels, found), found)
+    rows = lambda df: sorted(tuple(map(str, r)) for r in df.select(*sorted(want.columns)).collect())
+    assert rows(got) == rows(want) and sorted(got.columns) == sorted(want.columns)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
