@@ -67,6 +67,32 @@ def with_site(facts: DataFrame, concepts: DataFrame, edges: DataFrame, term: str
     return found.join(sites, "fact", "left")
 
 
+#: What bundles must carry of their facts for bundled_sites.
+SITE_COLUMNS = ("code_key", "word", "name", "verificationStatus")
+
+
+def bundled_sites(facts: DataFrame, concepts: DataFrame, bundles: DataFrame, singles: DataFrame, term: str, along: tuple[str, ...] = ("LOCATED_IN", "AFFECTS")) -> DataFrame:
+    """with_site over bundles that carry SITE_COLUMNS. Only a bundle's codes meet the concepts; a row for each edge is laid out
+    last, and nothing that grows with the pairs of facts is exchanged."""
+    names = concepts.select(F.col("key").alias("concept"), F.col("name").alias("site"))
+    wanted = lambda x: (x["verificationStatus"] == "confirmed") & (F.contains(F.lower(x["name"]), F.lit(term.lower())) | F.contains(F.lower(x["word"]), F.lit(term.lower())))
+    own = bundles.where(F.col("type").isin(*along)).select(
+        F.transform(F.filter("_starts", wanted), lambda x: F.struct(x["key"].alias("fact"), x["word"].alias("word"))).alias("_found"), F.transform("_ends", lambda x: x["code_key"]).alias("_codes")
+    )
+    codes = own.where(F.size("_found") > 0).select("_found", "_codes", F.explode(F.array_distinct("_codes")).alias("concept"))
+    # one place for each of the bundle's ends with that code
+    times = codes.select("_found", "concept", F.filter("_codes", lambda c: c == F.col("concept")).alias("_times"))
+    sited = cut(times.join(names, "concept").select("_found", "_times", "site"))
+    laid = sited.select("_times", "site", F.inline("_found")).select("fact", "word", "site", F.explode("_times")).select("fact", "word", "site")
+    found = with_term(facts, term)
+    steps = singles.where(F.col("type").isin(*along)).select(F.col("start_key").alias("fact"), F.col("end_key").alias("key"))
+    coded = singles.where("type = 'HAS_CODE'").select(F.col("start_key").alias("key"), F.col("end_key").alias("concept"))
+    alone = cut(found.join(steps, "fact").join(coded, "key").join(names, "concept").select("fact", "word", "site"))
+    known = sited.select(F.explode("_found.fact").alias("fact")).unionByName(alone.select("fact")).distinct()
+    without = found.join(known, "fact", "left_anti").select("fact", "word", F.lit(None).cast("string").alias("site"))
+    return laid.unionByName(alone).unionByName(without)
+
+
 def family_history(facts: DataFrame, edges: DataFrame, term: str) -> DataFrame:
     """patient, relative, word of family facts with the term."""
     rows = of_patients(facts.where("resource = 'FamilyMemberHistory'"), edges).where(has_term(term, "name", "word"))

@@ -223,3 +223,19 @@ def test_repeated_entities_meet_in_one_row(spark):
     assert [(r.id, r.sent, sorted((e.ord, e.word, e.label) for e in r._e)) for r in held] == [(1, 0, [(1, "mass", "A"), (2, "lung", "B"), (3, "mass", "C")])]
     pairs = relations.all_pairs(relations.held_entities(sents, ents)).collect()
     assert sorted((r.entity1, r.ord1, r.entity2, r.ord2) for r in pairs) == [("lung", 2, "mass", 3), ("mass", 1, "lung", 2)]
+
+
+def test_sites_of_bundles_equal_those_of_edges(spark):
+    """Rows of edges, repeats included, and facts without a site; shared keys too; pairs of facts are never joined."""
+    words = [("mass", "SIGN_SYMPTOM", 10 * k, "", "") for k in range(3)] + [("lung", "BIOLOGICAL_STRUCTURE", 100, "C1", "Lung"), ("lung", "BIOLOGICAL_STRUCTURE", 110, "", ""), ("lung", "BIOLOGICAL_STRUCTURE", 120, "", ""), ("massive", "SIGN_SYMPTOM", 200, "", "")]
+    rels = relations_of(spark, [("mass", "SIGN_SYMPTOM", "LOCATED_IN", "lung", "BIOLOGICAL_STRUCTURE", 0.7)])
+    roles = ontology.roles(spark)
+    for more in ([], [("mass", "DISEASE_DISORDER", 0, "", "")]):
+        found = mentions_of(spark, words + more)
+        facts, concepts = fact_graph.facts(found, rels, roles), fact_graph.concepts(found)
+        edges = fact_graph.edges(found, rels, facts, roles)
+        parts = fact_graph.edge_parts(found, rels, facts, roles, graph_queries.SITE_COLUMNS)
+        rows = lambda df: sorted((r.fact, r.word, r.site or "") for r in df.collect())
+        got = rows(graph_queries.bundled_sites(facts, concepts, *parts, "mass"))
+        assert got == rows(graph_queries.with_site(facts, concepts, edges, "mass"))
+        assert ("1:200:207", "massive", "") in got and sum(x[2] == "lung" for x in got) >= 6
