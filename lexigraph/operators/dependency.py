@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ontology
 from ..runtime import cut
+from ..runtime import kernel as _kernel
 from . import parse
 from .dedup import first_per_key
 from .relations import packed
@@ -54,12 +55,6 @@ def _named(dep: Column) -> Column:
     return F.coalesce(F.array_position(F.array(*map(F.lit, parse.DEPS)), dep), F.lit(-1)).cast("int")
 
 
-def _kernel(f, kind: str):
-    """f over Arrow arrays. Called not deterministic so that it runs once, where it stands: filters made of its result would else be
-    pushed below it, with a copy of it inside."""
-    return F.arrow_udf(f, kind).asNondeterministic()
-
-
 def _related(rows: DataFrame, verbs: list[tuple[str, str]], licences: DataFrame, attached: bool) -> DataFrame:
     """What the rules find in each sentence's row, by the relations that the pair of labels may have: for verbs the verb's,
     for attachments any of ATTACHMENT_RELATIONS."""
